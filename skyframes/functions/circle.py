@@ -1,0 +1,100 @@
+"""Smallest enclosing circle and discs as column expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def row_ends(pos: Column, wide: Column) -> Column:
+    """First and last pixel of every image row of an ascending position list.
+
+    Every corner of the convex hull is one of them, so circles around them are exact.
+    """
+    def row(p: Column) -> Column:
+        return F.floor(p / wide)
+
+    def is_end(p: Column, i: Column) -> Column:
+        before, after = F.get(pos, i - 1), F.get(pos, i + 1)
+        return before.isNull() | after.isNull() | (row(before) != row(p)) | (row(after) != row(p))
+
+    return F.filter(pos, is_end)
+
+
+def _circle(x: Column, y: Column, r2: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"), r2.alias("r2"))
+
+
+def _distance2(a: Column, b: Column) -> Column:
+    return (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)
+
+
+def _inside(c: Column, p: Column) -> Column:
+    return _distance2(c, p) <= c.r2 * (1 + 1e-12) + 1e-9
+
+
+def _through_two(p: Column, q: Column) -> Column:
+    return _circle((p.x + q.x) / 2, (p.y + q.y) / 2, _distance2(p, q) / 4)
+
+
+def _through_three(p: Column, q: Column, s: Column) -> Column:
+    ax, ay, bx, by = q.x - p.x, q.y - p.y, s.x - p.x, s.y - p.y
+    area = (ax * by - ay * bx) * 2
+    a2, b2 = ax * ax + ay * ay, bx * bx + by * by
+    ux = F.try_divide(by * a2 - ay * b2, area)
+    uy = F.try_divide(ax * b2 - bx * a2, area)
+    return _circle(p.x + ux, p.y + uy, ux * ux + uy * uy)
+
+
+def shuffled_points(pos: Column, wide: Column) -> Column:
+    """Points (x, y, i) of positions in an arbitrary but fixed order."""
+    scattered = F.array_sort(F.transform(pos, lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("p"))))
+    return F.transform(
+        scattered,
+        lambda s, i: F.struct(
+            (s.p % wide).cast("double").alias("x"), F.floor(s.p / wide).cast("double").alias("y"), i.alias("i")
+        ),
+    )
+
+
+def enclosing_circle(points: Column) -> Column:
+    """Smallest circle (x, y, r2) around points (x, y, i), expected linear time (Welzl 1991).
+
+    Points are added one by one. One outside the circle so far lies on the rim of the next,
+    and that circle is found the same way from the points before it. `points` must be a
+    column, not an expression, as the inner folds read it again.
+    """
+
+    def before(p: Column) -> Column:
+        return F.slice(points, F.lit(1), p.i)
+
+    def with_two(p: Column, q: Column) -> Column:
+        return F.aggregate(
+            before(q), _through_two(p, q), lambda c, s: F.when(_inside(c, s), c).otherwise(_through_three(p, q, s))
+        )
+
+    def with_one(p: Column) -> Column:
+        point = _circle(p.x, p.y, F.lit(0.0))
+        return F.aggregate(before(p), point, lambda c, q: F.when(_inside(c, q), c).otherwise(with_two(p, q)))
+
+    nothing = _circle(F.lit(0.0), F.lit(0.0), F.lit(-1.0))
+    return F.aggregate(points, nothing, lambda c, p: F.when(_inside(c, p), c).otherwise(with_one(p)))
+
+
+def whole(value: Column) -> Column:
+    """Cut to an integer after rounding away float noise."""
+    return F.floor(F.round(value, 6)).cast("int")
+
+
+def disc_positions(cx: Column, cy: Column, r: Column, high: Column, wide: Column) -> Column:
+    """Ascending positions of the pixels of a disc inside the image."""
+    top, bottom = F.greatest(cy - r, F.lit(0)), F.least(cy + r, high - 1)
+
+    def row(y: Column) -> Column:
+        half = F.floor(F.sqrt((r * r - (y - cy) * (y - cy)).cast("double"))).cast("int")
+        left, right = F.greatest(cx - half, F.lit(0)), F.least(cx + half, wide - 1)
+        none = F.array().cast("array<int>")
+        return F.when(left <= right, F.sequence(y * wide + left, y * wide + right)).otherwise(none)
+
+    rows = F.when(top <= bottom, F.sequence(top, bottom)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(rows, row))

@@ -11,6 +11,7 @@ from skyframes.catalog import views
 from skyframes.functions import color
 from skyframes.functions.names import time_of_day
 from skyframes.operators import edges, mask, pairing, regions, requests, stencil, sun, track
+from skyframes.operators.kernels import fill
 from skyframes.plans import sky
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,13 +126,13 @@ def p08(spark, sf_dir):
 
 @_query("w01_erode")
 def w01(spark, sf_dir):
-    eroded = views.tile_images(spark, sf_dir).withColumn("pos", stencil.erode(F.col("pos"), 3))
+    eroded = views.tile_images(spark, sf_dir).withColumn("pos", stencil.reshape(F.col("pos"), stencil.erode(3)))
     return stencil.position_rows(eroded, "pos", "image_key")
 
 
 @_query("w02_dilate")
 def w02(spark, sf_dir):
-    grown = views.tile_images(spark, sf_dir).withColumn("pos", stencil.dilate(F.col("pos"), 3))
+    grown = views.tile_images(spark, sf_dir).withColumn("pos", stencil.reshape(F.col("pos"), stencil.dilate(3)))
     return stencil.position_rows(grown, "pos", "image_key")
 
 
@@ -159,13 +160,13 @@ def g01(spark, sf_dir):
 
 @_query("g02_fill_holes")
 def g02(spark, sf_dir):
-    tiles = views.tile_images(spark, sf_dir).withColumn("pos", regions.fill_holes(F.col("pos")))
+    tiles = views.tile_images(spark, sf_dir).withColumn("pos", stencil.reshape(F.col("pos"), fill))
     return stencil.position_rows(tiles, "pos", "image_key")
 
 
 @_query("a07_region_area_topk")
 def a07(spark, sf_dir):
-    tiles = views.tile_images(spark, sf_dir).withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
+    tiles = views.tile_images(spark, sf_dir).withColumn("parts", regions.components(F.col("pos"), fill))
     return regions.ranked_regions(tiles, "parts", F.lit(3), F.expr("height * width / 20"), "image_key")
 
 
@@ -253,7 +254,7 @@ def u01(spark, sf_dir):
 
 def _tile_parts(spark, sf_dir):
     """Each component of each filled tile as an image of its own."""
-    tiles = views.tile_images(spark, sf_dir).withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
+    tiles = views.tile_images(spark, sf_dir).withColumn("parts", regions.components(F.col("pos"), fill))
     rows = regions.component_rows(tiles, "parts", "image_key", "height", "width").withColumnRenamed("label", "component")
     return stencil.pack(rows, "image_key", "component")
 

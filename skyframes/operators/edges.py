@@ -15,9 +15,7 @@ def smoothed(images: DataFrame, *keys: str) -> DataFrame:
 
 def ridges(images: DataFrame, *keys: str) -> DataFrame:
     """Thinned gradient: keys, height, width, ridge (pos, mag)."""
-    return smoothed(images, *keys).select(
-        *keys, "height", "width", stencil.ridge_pixels("smooth", "width").alias("ridge")
-    )
+    return images.select(*keys, "height", "width", stencil.ridge_pixels("data", "height", "width").alias("ridge"))
 
 
 def edge_pixels(ridge_images: DataFrame, *keys: str, low: int = 100, high: int = 200) -> DataFrame:

@@ -119,3 +119,13 @@ def fill(image: np.ndarray) -> np.ndarray:
     filled = np.ones(high * wide, bool)
     filled[spread_runs(start, length)[0][np.repeat(outside[label], length)]] = False
     return filled.reshape(high, wide)
+
+
+def largest(image: np.ndarray) -> np.ndarray:
+    """The 8-connected component with most pixels, of equals the one that starts first."""
+    start, length, label = components(image, 1)
+    kept = np.zeros(image.size, bool)
+    if len(start):
+        best = np.bincount(label, length).argmax()
+        kept[spread_runs(start, length)[0][np.repeat(label == best, length)]] = True
+    return kept.reshape(image.shape)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframes.functions.color import is_sky_color
 from skyframes.operators import edges, regions, stencil
+from skyframes.operators.kernels import fill
 
 IMAGE = ("device_id", "day", "height", "width")
 
@@ -44,8 +45,8 @@ def sky_regions(raw: DataFrame, size: int = 5, top: int = 3, part: int = 20) ->
 
     `region` is the rank by area; `n_regions` counts the regions of the image.
     """
-    eroded = stencil.pack(raw, "device_id", "day").withColumn("pos", stencil.erode(F.col("pos"), size))
-    labelled = eroded.withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
+    parts = regions.components(F.col("pos"), stencil.erode(size), fill)
+    labelled = stencil.pack(raw, "device_id", "day").withColumn("parts", parts)
     return regions.ranked_regions(labelled, "parts", F.lit(top), F.expr(f"height * width / {part}"), *IMAGE)
 
 
@@ -103,8 +104,8 @@ def decided_regions(region_rows: DataFrame, correlation: DataFrame) -> DataFrame
 def final_mask(kept: DataFrame, size: int = 5) -> DataFrame:
     """Mask pixels (device_id, day, height, width, y, x): kept regions dilated, filled and cut to the
     largest `n_regions` outlines, the number of regions before the decision."""
-    grown = stencil.pack(kept, "device_id", "day", "n_regions").withColumn("pos", stencil.dilate(F.col("pos"), size))
-    labelled = grown.withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
+    parts = regions.components(F.col("pos"), stencil.dilate(size), fill)
+    labelled = stencil.pack(kept, "device_id", "day", "n_regions").withColumn("parts", parts)
     return regions.ranked_regions(labelled, "parts", F.col("n_regions"), None, *IMAGE).select(*IMAGE, "y", "x")
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyframes.operators.kernels import components as connected_runs
-from skyframes.operators.kernels import fill
-from skyframes.operators.stencil import binary_image, position_rows
+from skyframes.operators.stencil import binary_image, image_udf, position_rows
 
 _INTS = T.ArrayType(T.IntegerType())
 _LONGS = T.ArrayType(T.LongType())
@@ -24,43 +23,30 @@ _PARTS = T.StructType(
 )
 
 
-def _labeller(reach: int):
-    @F.pandas_udf(_PARTS)
+def components(pos: Column, *steps, connectivity: int = 8, weight: Column | None = None) -> Column:
+    """Struct of aligned arrays (pos, label, total) of the foreground after the given steps.
+
+    label: smallest position of the component. total: its pixel count, or, without steps,
+    its sum of `weight`, an array aligned with `pos`.
+    """
+    reach = {8: 1, 4: 0}[connectivity]
+
+    @image_udf(_PARTS)
     def label(pos: pd.Series, height: pd.Series, width: pd.Series, weight: pd.Series) -> pd.DataFrame:
         found = []
         for at, high, wide, w in zip(pos, height, width, weight):
-            start, length, part = connected_runs(binary_image(at, high, wide), reach)
-            run = np.repeat(np.arange(len(start)), length)
-            part = part[run]
+            image = binary_image(at, high, wide)
+            for step in steps:
+                image = step(image)
+            start, length, part = connected_runs(image, reach)
+            part = part[np.repeat(np.arange(len(start)), length)]
             total = np.zeros(len(start), np.int64)
             np.add.at(total, part, w if len(w) else 1)
-            found.append((at, start[part], total[part]))
+            found.append((np.flatnonzero(image), start[part], total[part]))
         return pd.DataFrame(found, columns=["pos", "label", "total"])
 
-    return label
-
-
-_LABELLERS = {8: _labeller(1), 4: _labeller(0)}
-
-
-def components(pos: Column, connectivity: int = 8, weight: Column | None = None) -> Column:
-    """Struct of aligned arrays (pos, label, total) of a binary image's foreground.
-
-    label: smallest position of the component. total: its pixel count, or its sum of
-    `weight`, an array aligned with `pos`.
-    """
     no_weight = F.array().cast("array<int>")
-    return _LABELLERS[connectivity](pos, "height", "width", no_weight if weight is None else weight)
-
-
-@F.pandas_udf(_INTS)
-def _filled(pos: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
-    return pd.Series([np.flatnonzero(fill(binary_image(*p))) for p in zip(pos, height, width)])
-
-
-def fill_holes(pos: Column) -> Column:
-    """Foreground and every background pixel without a 4-connected way to the border."""
-    return _filled(pos, "height", "width")
+    return label(pos, "height", "width", no_weight if weight is None else weight)
 
 
 def component_rows(images: DataFrame, parts: str, *keys: str) -> DataFrame:
@@ -79,16 +65,6 @@ def ranking(parts: Column) -> Column:
     )
 
 
-def largest_pixels(parts: Column) -> Column:
-    """Positions of the largest component."""
-    zipped = F.arrays_zip(
-        parts.getField("pos").alias("pos"), parts.getField("label").alias("label"), parts.getField("total").alias("total")
-    )
-    best = F.array_max(F.transform(zipped, lambda p: F.struct(p.total.alias("area"), (-p.label).alias("order"))))
-    only = F.transform(F.array(best), lambda b: F.filter(zipped, lambda p: p.label == -b.order))
-    return F.coalesce(F.get(only, F.lit(0)).getField("pos"), F.array().cast("array<int>"))
-
-
 def ranked_regions(images: DataFrame, parts: str, top: Column, min_area: Column | None, *keys: str) -> DataFrame:
     """Pixel rows (keys, y, x, area, region, n_regions) of the `top` largest components.
 

@@ -26,6 +26,11 @@ from skyframes.operators.kernels import derivatives, grey, ridges, smooth, sweep
 _INTS = T.ArrayType(T.IntegerType())
 
 
+def image_udf(result: T.DataType):
+    """Arrow function over images. Marked nondeterministic so that Catalyst never runs it twice per row."""
+    return lambda fn: F.pandas_udf(fn, result).asNondeterministic()
+
+
 def _frame(data: bytes, height: int, width: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(height, width, 3)
 
@@ -36,40 +41,47 @@ def binary_image(pos: np.ndarray, height: int, width: int) -> np.ndarray:
     return image.reshape(height, width)
 
 
-@F.pandas_udf(_INTS)
+@image_udf(_INTS)
 def smooth_luma(data: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """Bilaterally smoothed grey values, flat."""
     return pd.Series([smooth(grey(_frame(*p))).ravel() for p in zip(data, height, width)])
 
 
-@F.pandas_udf(T.StructType([T.StructField("pos", _INTS), T.StructField("mag", _INTS)]))
-def ridge_pixels(luma: pd.Series, width: pd.Series) -> pd.DataFrame:
-    """Ridges of the gradient of a flat grey image: positions and magnitudes."""
+@image_udf(T.StructType([T.StructField("pos", _INTS), T.StructField("mag", _INTS)]))
+def ridge_pixels(data: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Ridges of the gradient of the smoothed grey image: positions and magnitudes."""
     found = []
-    for values, wide in zip(luma, width):
-        mag = ridges(*derivatives(values.reshape(-1, wide))).ravel()
+    for p in zip(data, height, width):
+        mag = ridges(*derivatives(smooth(grey(_frame(*p))))).ravel()
         pos = np.flatnonzero(mag)
         found.append((pos, mag[pos]))
     return pd.DataFrame(found, columns=["pos", "mag"])
 
 
-def _morphology(size: int, pick):
-    @F.pandas_udf(_INTS)
-    def morph(pos: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
-        images = (binary_image(*p) for p in zip(pos, height, width))
-        return pd.Series([np.flatnonzero(sweep(i, size, pick)) for i in images])
+def erode(size: int):
+    """Step: keep foreground whose whole size x size window, clipped at the border, is foreground."""
+    return lambda image: sweep(image, size, np.minimum)
+
 
-    return morph
+def dilate(size: int):
+    """Step: add pixels with foreground in their size x size window."""
+    return lambda image: sweep(image, size, np.maximum)
 
 
-def erode(pos: Column, size: int) -> Column:
-    """Foreground whose whole size x size window, clipped at the border, is foreground."""
-    return _morphology(size, np.minimum)(pos, "height", "width")
+def reshape(pos: Column, *steps) -> Column:
+    """Positions after the given steps on the binary image, all in one pass over Arrow batches."""
 
+    @image_udf(_INTS)
+    def run(pos: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+        found = []
+        for p in zip(pos, height, width):
+            image = binary_image(*p)
+            for step in steps:
+                image = step(image)
+            found.append(np.flatnonzero(image))
+        return pd.Series(found)
 
-def dilate(pos: Column, size: int) -> Column:
-    """Pixels with foreground in their size x size window."""
-    return _morphology(size, np.maximum)(pos, "height", "width")
+    return run(pos, "height", "width")
 
 
 def pixel_rows(images: DataFrame, *keys: str) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from skyframes.functions import circle
 from skyframes.functions.color import is_sun_hue
+from skyframes.functions.once import with_once
 from skyframes.operators import regions, stencil
+from skyframes.operators.kernels import fill, largest
 from skyframes.operators.mask import apply_mask
 
 SIGHT = ("frame_id", "device_id", "mask_day")
@@ -22,20 +24,15 @@ def candidates(images: DataFrame, limit: int = 10) -> DataFrame:
 def sun_regions(images: DataFrame, mask: DataFrame, size: int = 3) -> DataFrame:
     """Largest sun-like region per frame and mask: (frame_id, device_id, mask_day, height, width, pos)."""
     under = stencil.pack(apply_mask(candidates(images), mask), *SIGHT)
-    core = under.withColumn("pos", stencil.erode(F.col("pos"), size))
-    core = core.withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
-    core = core.withColumn("pos", regions.largest_pixels(F.col("parts"))).drop("parts")
-    grown = core.withColumn("pos", stencil.dilate(F.col("pos"), size))
-    grown = grown.withColumn("parts", regions.components(regions.fill_holes(F.col("pos"))))
-    found = grown.withColumn("pos", regions.largest_pixels(F.col("parts"))).drop("parts")
-    return found.where(F.size("pos") > 0)
+    steps = stencil.erode(size), fill, largest, stencil.dilate(size), fill, largest
+    return under.withColumn("pos", stencil.reshape(F.col("pos"), *steps)).where(F.size("pos") > 0)
 
 
 def enclosing_circles(images: DataFrame) -> DataFrame:
     """Adds cx, cy, r, the whole-number smallest circle around the pixels of `pos`."""
-    ends = images.withColumn("__ends", circle.row_ends(F.col("pos"), F.col("width")))
-    points = ends.withColumn("__points", circle.shuffled_points(F.col("__ends"), F.col("width")))
-    around = points.withColumn("__circle", circle.enclosing_circle(F.col("__points")))
+    ends = with_once(images, __ends=circle.row_ends(F.col("pos"), F.col("width")))
+    points = with_once(ends, __points=circle.shuffled_points(F.col("__ends"), F.col("width")))
+    around = with_once(points, __circle=circle.enclosing_circle(F.col("__points")))
     return around.select(
         *images.columns,
         circle.whole(F.col("__circle.x")).alias("cx"),
@@ -48,7 +45,7 @@ def disc_areas(discs: DataFrame, mask_pos: str) -> DataFrame:
     """Adds disc_area: pixels of the largest filled region of the disc that lies on `mask_pos`."""
     disc = circle.disc_positions(F.col("cx"), F.col("cy"), F.col("r"), F.col("height"), F.col("width"))
     cut = discs.withColumn("__cut", F.array_intersect(disc, F.col(mask_pos))).drop(mask_pos)
-    parts = cut.withColumn("__parts", regions.components(regions.fill_holes(F.col("__cut"))))
+    parts = cut.withColumn("__parts", regions.components(F.col("__cut"), fill))
     area = F.coalesce(F.array_max("__parts.total"), F.lit(0).cast("bigint"))
     return parts.withColumn("disc_area", area).drop("__cut", "__parts")
 

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyframes.functions.once import with_once
+
 TRACK = ("device_id", "day")
 MOMENTS = [(i, j) for i in range(5) for j in range(5 - i)]
 
@@ -23,63 +25,44 @@ def flip_rotate(points: DataFrame, theta: Column, height: int = 640) -> DataFram
     return points.withColumns({"u": x * F.cos(theta) - y * F.sin(theta), "v": x * F.sin(theta) + y * F.cos(theta)})
 
 
-def _total(terms: list[Column]) -> Column:
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return total
-
-
-def _central(i: int, j: int) -> Column:
+def _central(i: int, j: int) -> str:
     """Moment around the mean, from the moments around the frame centre."""
-    return _total(
-        [
-            F.col(f"m{p}{q}").cast("double") * (math.comb(i, p) * math.comb(j, q)) * F.pow(-F.col("mx"), F.lit(i - p)) * F.pow(-F.col("my"), F.lit(j - q))
-            for p in range(i + 1)
-            for q in range(j + 1)
-        ]
-    )
+    terms = [
+        f"{math.comb(i, p) * math.comb(j, q)} * m{p}{q} * pow(-mx, {i - p}) * pow(-my, {j - q})"
+        for p in range(i + 1)
+        for q in range(j + 1)
+    ]
+    return " + ".join(terms)
 
 
-def _fit(k: Column, c: dict[str, Column]) -> Column:
-    """Least-squares parabola at angle theta of step struct `k`, from central moments.
-
-    Rotation mixes moments linearly, so no point is looked at again. rss is null where the
-    points give no parabola.
-    """
-    cos, sin = k.cos, k.sin
-    turned = [_total([c[f"c{n - j}{j}"] * math.comb(n, j) * F.pow(cos, F.lit(n - j)) * F.pow(-sin, F.lit(j)) for j in range(n + 1)]) for n in (2, 3, 4)]
-    s2, s3, s4 = turned
-    uv = cos * sin * (c["c20"] - c["c02"]) + (cos * cos - sin * sin) * c["c11"]
-    vv = sin * sin * c["c20"] + sin * cos * c["c11"] * 2 + cos * cos * c["c02"]
-    uuv = (
-        cos * cos * sin * c["c30"] + (cos * cos * cos - cos * sin * sin * 2) * c["c21"]
-        + (sin * sin * sin - cos * cos * sin * 2) * c["c12"] + sin * sin * cos * c["c03"]
-    )
-    bend = s4 - s2 * s2 / c["n"]
-    return F.struct(
-        k.theta.alias("theta"), cos.alias("cos"), sin.alias("sin"), uv.alias("uv"), vv.alias("vv"), uuv.alias("uuv"),
-        s2.alias("s2"), s3.alias("s3"), s4.alias("s4"), bend.alias("bend"), (bend * s2 - s3 * s3).alias("det"),
-    )
+def _turned(k: int) -> str:
+    """Sum of the k-th powers of u after turning. Rotation mixes moments, so no point is looked at again."""
+    return " + ".join(f"{math.comb(k, j)} * c{k - j}{j} * pow(k.c, {k - j}) * pow(-k.s, {j})" for j in range(k + 1))
 
 
-def _solve(f: Column) -> Column:
-    proper = f.det > f.s4 * f.s2 * 1e-9
-    a2 = F.try_divide(f.uuv * f.s2 - f.s3 * f.uv, f.det)
-    a1 = F.try_divide(f.bend * f.uv - f.s3 * f.uuv, f.det)
-    return F.struct(
-        F.round(f.vv - a2 * f.uuv - a1 * f.uv, 6).alias("rss"), f.theta.alias("theta"),
-        a2.alias("a2"), a1.alias("a1"), f.s2.alias("s2"), proper.alias("proper"),
-    )
+def _best(angles: str) -> Column:
+    """Least-squares parabola with the least rounded rss over an array of angles, ties by angle.
 
-
-def _best(angles: Column) -> Column:
-    """Fit with the least rounded rss over an array of angles, ties by angle; null if none is proper."""
-    steps = F.transform(angles, lambda t: F.struct(t.alias("theta"), F.cos(t).alias("cos"), F.sin(t).alias("sin")))
-    moments = {f"c{i}{j}": F.col(f"c{i}{j}") for i, j in MOMENTS}
-    moments["n"] = F.col("n")
-    sums = F.transform(steps, lambda k: _fit(k, moments))
-    return F.array_min(F.filter(F.transform(sums, _solve), lambda s: s.proper))
+    Normal equations in central moments; angles at which the points give no parabola are
+    left out, and the result is null if none is left.
+    """
+    steps = f"transform({angles}, t -> named_struct('theta', t, 'c', cos(t), 's', sin(t)))"
+    sums = f"""transform({steps}, k -> named_struct(
+        'theta', k.theta, 's2', {_turned(2)}, 's3', {_turned(3)}, 's4', {_turned(4)},
+        'uv', k.c * k.s * (c20 - c02) + (k.c * k.c - k.s * k.s) * c11,
+        'vv', k.s * k.s * c20 + 2 * k.s * k.c * c11 + k.c * k.c * c02,
+        'uuv', k.c * k.c * k.s * c30 + (pow(k.c, 3) - 2 * k.c * k.s * k.s) * c21
+             + (pow(k.s, 3) - 2 * k.c * k.c * k.s) * c12 + k.s * k.s * k.c * c03))"""
+    systems = f"""transform({sums}, f -> named_struct('f', f, 'bend', f.s4 - f.s2 * f.s2 / n))"""
+    solved = f"""transform(
+        transform({systems}, e -> named_struct('f', e.f, 'bend', e.bend, 'det', e.bend * e.f.s2 - e.f.s3 * e.f.s3)),
+        e -> named_struct('f', e.f, 'proper', e.det > 1e-9 * e.f.s4 * e.f.s2,
+          'a2', try_divide(e.f.uuv * e.f.s2 - e.f.s3 * e.f.uv, e.det),
+          'a1', try_divide(e.bend * e.f.uv - e.f.s3 * e.f.uuv, e.det)))"""
+    fits = f"""transform(filter({solved}, e -> e.proper), e -> named_struct(
+        'rss', round(e.f.vv - e.a2 * e.f.uuv - e.a1 * e.f.uv, 6), 'theta', e.f.theta,
+        'a2', e.a2, 'a1', e.a1, 's2', e.f.s2))"""
+    return F.expr(f"array_min({fits})")
 
 
 def fit_tracks(points: DataFrame, width: int = 640, height: int = 640) -> DataFrame:
@@ -90,26 +73,21 @@ def fit_tracks(points: DataFrame, width: int = 640, height: int = 640) -> DataFr
     the solution are arithmetic on that row. Up to 3 points, or points on a line at every
     angle, give no row.
     """
-    x, y = F.col("cx") - width // 2, F.lit(height - height // 2) - F.col("cy")
-
-    def power(c: Column, k: int) -> Column:
-        c, out = c.cast("bigint"), F.lit(1).cast("bigint")
-        for _ in range(k):
-            out = out * c
-        return out
-
-    sums = points.groupBy(*TRACK).agg(*[F.sum(power(x, i) * power(y, j)).alias(f"m{i}{j}") for i, j in MOMENTS])
-    rows = (
-        sums.where("m00 > 3")
-        .withColumns({"n": F.col("m00").cast("double"), "mx": F.col("m10") / F.col("m00"), "my": F.col("m01") / F.col("m00")})
-        .withColumns({f"c{i}{j}": _central(i, j) for i, j in MOMENTS})
+    centred = points.selectExpr(*TRACK, f"bigint(cx - {width // 2}) as x", f"bigint({height - height // 2} - cy) as y")
+
+    def power(name: str, k: int) -> str:
+        return " * ".join([name] * k) or "1"
+
+    sums = centred.groupBy(*TRACK).agg(*[F.expr(f"sum({power('x', i)} * {power('y', j)})").alias(f"m{i}{j}") for i, j in MOMENTS])
+    means = sums.where("m00 > 3").selectExpr("*", "double(m00) as n", "m10 / m00 as mx", "m01 / m00 as my")
+    rows = with_once(means, **{f"c{i}{j}": F.expr(_central(i, j)) for i, j in MOMENTS if 2 <= i + j})
+    coarse = _best("transform(sequence(0, 179), k -> k * pi() / 180)")
+    found = with_once(rows, coarse=coarse).where("coarse is not null")
+    fine = _best(
+        "transform(sequence(int(round(coarse.theta * 18000 / pi())) - 100, int(round(coarse.theta * 18000 / pi())) + 100),"
+        " k -> k * pi() / 18000)"
     )
-    coarse = F.transform(F.sequence(F.lit(0), F.lit(179)), lambda k: k * (math.pi / 180))
-    # inline drops the rows without a fit
-    found = rows.select("*", F.explode(F.filter(F.array(_best(coarse)), lambda b: b.isNotNull())).alias("coarse"))
-    start = F.round(F.col("coarse.theta") * (18000 / math.pi)).cast("int")
-    fine = F.transform(F.sequence(start - 100, start + 100), lambda k: k * (math.pi / 18000))
-    best = found.select("*", F.explode(F.filter(F.array(_best(fine)), lambda b: b.isNotNull())).alias("best"))
+    best = with_once(found, best=fine).where("best is not null")
     cos, sin = F.cos("best.theta"), F.sin("best.theta")
     mean_x, mean_y = F.col("mx") + width // 2, F.col("my") + height // 2
     placed = best.select(

@@ -227,7 +227,7 @@ _view("linked", """select frame_id, y, x from ridges where mag > 200
 
 # ---- sky mask -----------------------------------------------------------------------------
 
-_view("hits", f"""select device_id, day, y, x, sum(cast({_COLOR} as bigint)) as color_hits,
+_view("hits", f"""select device_id, day, y, x, cast(sum(cast({_COLOR} as bigint)) as bigint) as color_hits,
   count(l.frame_id) as edge_hits, count(*) as n_frames
   from scene s left join linked l using (frame_id, y, x) group by device_id, day, y, x""")
 _view("raw", """select device_id, day, y, x from hits where color_hits >= cast(0.75 as double) * n_frames
@@ -239,7 +239,7 @@ _ranked("area_ranks", "areas", "device_id, day")
 _view("regions", f"""select device_id, day, y, x, a.area, place as region, n_regions from areas a
   join (select *, count(*) over (partition by device_id, day) as n_regions from area_ranks
         where place <= 3 and area * 20 >= {SIDE * SIDE}) using (device_id, day, label)""")
-_view("rb", """select s.frame_id, device_id, day, region, sum(abs(s.r - s.b)) as rb_sum from scene s
+_view("rb", """select s.frame_id, device_id, day, region, cast(sum(abs(s.r - s.b)) as bigint) as rb_sum from scene s
   join regions using (device_id, day, y, x) group by all""")
 _view("corrs", """select device_id, day, i.region, covar_pop(i.rb_sum::double, o.rb_sum::double)
     / nullif(stddev_pop(i.rb_sum::double) * stddev_pop(o.rb_sum::double), 0) as corr

@@ -14,7 +14,10 @@ KEYS = ("frame_id", "device_id", "day", "tod")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. One of fewer files than cores, as in tests, is spread over the cores."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table if len(table.inputFiles()) >= cores else table.repartition(cores)
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyframes.functions.color import is_sky_color
+from skyframes.functions import color
 from skyframes.operators import edges, regions, stencil
 from skyframes.operators.kernels import fill
 
@@ -14,7 +14,7 @@ IMAGE = ("device_id", "day", "height", "width")
 
 def color_flags(images: DataFrame) -> DataFrame:
     """Dense pixel rows with color 1 where the colour rule says sky."""
-    sky = is_sky_color(F.col("b"), F.col("g"), F.col("r"))
+    sky = color.is_sky_color(F.col("b"), F.col("g"), F.col("r"))
     return stencil.pixel_rows(images, *IMAGE).select(*IMAGE, "y", "x", sky.cast("int").alias("color"))
 
 
@@ -62,14 +62,15 @@ def region_sums(images: DataFrame, region_rows: DataFrame) -> DataFrame:
     A frame meets the regions as one row and only then becomes pixels, so the join moves
     3 bytes per pixel instead of a table row; the sums combine before their shuffle.
     """
-    data = images.select("frame_id", "device_id", "day", "data")
-    bgr = F.conv(F.hex(F.substring("data", F.col("pos") * 3 + 1, F.lit(3))), 16, 10).cast("int")
+    frame = ("frame_id", "device_id", "day")
+    met = images.select(*frame, "data").join(region_images(region_rows), ["device_id", "day"])
+    bgr = F.get(F.col("pixels"), F.col("pos"))
     return (
-        data.join(region_images(region_rows), ["device_id", "day"])
-        .select("frame_id", "device_id", "day", "data", F.inline("spots"))
-        .select("frame_id", "device_id", "day", "region", bgr.alias("bgr"))
-        .groupBy("frame_id", "device_id", "day", "region")
-        .agg(F.sum(F.abs(F.col("bgr").bitwiseAND(255) - F.shiftright("bgr", 16))).alias("rb_sum"))
+        met.select(*frame, "spots", stencil.packed_pixels("data").alias("pixels"))
+        .select(*frame, "pixels", F.inline("spots"))
+        .select(*frame, "region", F.abs(color.red(bgr) - color.blue(bgr)).alias("rb"))
+        .groupBy(*frame, "region")
+        .agg(F.sum("rb").alias("rb_sum"))
     )
 
 

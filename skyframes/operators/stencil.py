@@ -84,16 +84,20 @@ def reshape(pos: Column, *steps) -> Column:
     return run(pos, "height", "width")
 
 
+@image_udf(_INTS)
+def packed_pixels(data: pd.Series) -> pd.Series:
+    """Pixels of B, G, R bytes as one INT each; see `skyframes.functions.color`."""
+    triples = (np.frombuffer(d, np.uint8).reshape(-1, 3).astype(np.int32) for d in data)
+    return pd.Series([t[:, 0] << 16 | t[:, 1] << 8 | t[:, 2] for t in triples])
+
+
 def pixel_rows(images: DataFrame, *keys: str) -> DataFrame:
-    """One row per pixel of ``data``: keys, y, x, b, g, r. Positions past the bytes do not exist."""
-    # three bytes are read at once as a six digit hexadecimal number
-    bgr = F.conv(F.hex(F.substring("data", F.col("pos") * 3 + 1, F.lit(3))), 16, 10).cast("int")
+    """One row per pixel of ``data``: keys, y, x, b, g, r."""
     p = F.col("bgr")
-    every = F.explode(F.sequence(F.lit(0), F.expr("height * width - 1")))
     return (
-        images.select(*keys, "data", F.col("width").alias("__wide"), every.alias("pos"))
-        .select(*keys, *_place(), bgr.alias("bgr"))
-        .select(*keys, "y", "x", color.blue(p).alias("b"), color.green(p).alias("g"), color.red(p).alias("r"))
+        images.select(*keys, F.col("width").alias("__wide"), packed_pixels("data").alias("__pixels"))
+        .select(*keys, "__wide", F.posexplode("__pixels").alias("pos", "bgr"))
+        .select(*keys, *_place(), color.blue(p).alias("b"), color.green(p).alias("g"), color.red(p).alias("r"))
     )
 
 

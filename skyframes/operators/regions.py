@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyframes.operators.kernels import components as connected_runs
-from skyframes.operators.stencil import binary_image, image_udf, position_rows
+from skyframes.operators.stencil import frame_positions, image_udf, position_rows, run_steps
 
 _INTS = T.ArrayType(T.IntegerType())
 _LONGS = T.ArrayType(T.LongType())
@@ -35,14 +35,13 @@ def components(pos: Column, *steps, connectivity: int = 8, weight: Column | None
     def label(pos: pd.Series, height: pd.Series, width: pd.Series, weight: pd.Series) -> pd.DataFrame:
         found = []
         for at, high, wide, w in zip(pos, height, width, weight):
-            image = binary_image(at, high, wide)
-            for step in steps:
-                image = step(image)
+            image, top, left = run_steps(at, high, wide, steps)
             start, length, part = connected_runs(image, reach)
             part = part[np.repeat(np.arange(len(start)), length)]
             total = np.zeros(len(start), np.int64)
             np.add.at(total, part, w if len(w) else 1)
-            found.append((np.flatnonzero(image), start[part], total[part]))
+            place = (image.shape[1], top, left, wide)
+            found.append((frame_positions(np.flatnonzero(image), *place), frame_positions(start, *place)[part], total[part]))
         return pd.DataFrame(found, columns=["pos", "label", "total"])
 
     no_weight = F.array().cast("array<int>")

@@ -35,10 +35,29 @@ def _frame(data: bytes, height: int, width: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(height, width, 3)
 
 
-def binary_image(pos: np.ndarray, height: int, width: int) -> np.ndarray:
-    image = np.zeros(height * width, bool)
-    image[pos] = True
-    return image.reshape(height, width)
+def run_steps(pos: np.ndarray, height: int, width: int, steps: tuple) -> tuple[np.ndarray, int, int]:
+    """Binary image after the steps, cut to the part of the frame that can hold foreground, and its corner.
+
+    One ring of background more than the steps can grow into stays around the foreground
+    wherever the frame goes on, so erosion and filling see what they would see in the frame.
+    """
+    if len(pos) == 0:
+        return np.zeros((1, 1), bool), 0, 0
+    y, x = np.divmod(pos, width)
+    margin = 1 + sum(getattr(step, "reach", 0) for step in steps)
+    top, left = max(int(y.min()) - margin, 0), max(int(x.min()) - margin, 0)
+    bottom, right = min(int(y.max()) + margin, height - 1), min(int(x.max()) + margin, width - 1)
+    image = np.zeros((bottom - top + 1, right - left + 1), bool)
+    image[y - top, x - left] = True
+    for step in steps:
+        image = step(image)
+    return image, top, left
+
+
+def frame_positions(local: np.ndarray, wide: int, top: int, left: int, width: int) -> np.ndarray:
+    """Positions in the frame of positions in a cut-out of the given width and corner."""
+    y, x = np.divmod(local, wide)
+    return (y + top) * width + x + left
 
 
 @image_udf(_INTS)
@@ -65,7 +84,11 @@ def erode(size: int):
 
 def dilate(size: int):
     """Step: add pixels with foreground in their size x size window."""
-    return lambda image: sweep(image, size, np.maximum)
+    def step(image: np.ndarray) -> np.ndarray:
+        return sweep(image, size, np.maximum)
+
+    step.reach = size // 2
+    return step
 
 
 def reshape(pos: Column, *steps) -> Column:
@@ -74,11 +97,9 @@ def reshape(pos: Column, *steps) -> Column:
     @image_udf(_INTS)
     def run(pos: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
         found = []
-        for p in zip(pos, height, width):
-            image = binary_image(*p)
-            for step in steps:
-                image = step(image)
-            found.append(np.flatnonzero(image))
+        for at, high, wide in zip(pos, height, width):
+            image, top, left = run_steps(at, high, wide, steps)
+            found.append(frame_positions(np.flatnonzero(image), image.shape[1], top, left, wide))
         return pd.Series(found)
 
     return run(pos, "height", "width")
@@ -125,8 +146,12 @@ def pack(pixels: DataFrame, *keys: str) -> DataFrame:
     """Foreground pixel rows to one binary image per key: keys, height, width, pos.
 
     An image has H*W positions and (keys, y, x) is unique, so a group is never larger than
-    one frame, however many frames were counted into it.
+    one frame, however many frames were counted into it. The partition count is stated:
+    the images go on to Arrow functions, where work per byte is high, and merging partitions
+    by their few bytes would leave most cores idle.
     """
-    return pixels.groupBy(*keys, "height", "width").agg(
+    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    image = [*keys, "height", "width"]
+    return pixels.select(*image, "y", "x").repartition(parts, *keys).groupBy(*image).agg(
         F.array_sort(F.collect_list((F.col("y") * F.col("width") + F.col("x")).cast("int"))).alias("pos")
     )

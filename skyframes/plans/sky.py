@@ -25,4 +25,4 @@ def kept_regions(images: DataFrame, region_rows: DataFrame, least: float = 0.3)
 
 def sky_mask(images: DataFrame) -> DataFrame:
     """Final mask pixels (device_id, day, height, width, y, x)."""
-    return mask.final_mask(kept_regions(images, regions(images)))
+    return stage_table(mask.final_mask(kept_regions(images, regions(images))), "sky_mask")

@@ -70,8 +70,8 @@ def fit_tracks(points: DataFrame, width: int = 640, height: int = 640) -> DataFr
 
     One aggregate gathers the 15 power sums of a device and day as exact integers; centring,
     the search over theta (one degree over half a turn, then a hundredth around the best) and
-    the solution are arithmetic on that row. Up to 3 points, or points on a line at every
-    angle, give no row.
+    the solution are arithmetic on that row. Up to 3 points, or points at fewer than three
+    places, give no row.
     """
     centred = points.selectExpr(*TRACK, f"bigint(cx - {width // 2}) as x", f"bigint({height - height // 2} - cy) as y")
 

@@ -56,14 +56,18 @@ def region_images(region_rows: DataFrame) -> DataFrame:
     return region_rows.groupBy("device_id", "day").agg(F.collect_list(spot).alias("spots"))
 
 
-def region_sums(images: DataFrame, region_rows: DataFrame) -> DataFrame:
+def region_sums(images: DataFrame, region_rows: DataFrame, slices: int = 8) -> DataFrame:
     """Sum of |r - b| per frame and region of its own day.
 
     A frame meets the regions as one row and only then becomes pixels, so the join moves
-    3 bytes per pixel instead of a table row; the sums combine before their shuffle.
+    3 bytes per pixel instead of a table row; the sums combine before their shuffle. A day of
+    frames is gigabytes and a busy day more, so frames are spread over `slices` copies of the
+    one regions row of their day.
     """
     frame = ("frame_id", "device_id", "day")
-    met = images.select(*frame, "data").join(region_images(region_rows), ["device_id", "day"])
+    spread = images.select(*frame, "data", F.pmod(F.xxhash64("frame_id"), F.lit(slices)).cast("int").alias("slice"))
+    copies = region_images(region_rows).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    met = spread.join(copies, ["device_id", "day", "slice"])
     bgr = F.get(F.col("pixels"), F.col("pos"))
     return (
         met.select(*frame, "spots", stencil.packed_pixels("data").alias("pixels"))

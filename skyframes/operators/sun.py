@@ -21,9 +21,15 @@ def candidates(images: DataFrame, limit: int = 10) -> DataFrame:
     return stencil.pixel_rows(images, "frame_id", "device_id", "day", "height", "width").where(sunny).drop("b", "g", "r")
 
 
-def sun_regions(images: DataFrame, mask: DataFrame, size: int = 3) -> DataFrame:
-    """Largest sun-like region per frame and mask: (frame_id, device_id, mask_day, height, width, pos)."""
-    under = stencil.pack(apply_mask(candidates(images), mask), *SIGHT)
+def sun_regions(images: DataFrame, mask: DataFrame, only: DataFrame | None = None, size: int = 3) -> DataFrame:
+    """Largest sun-like region per frame and mask: (frame_id, device_id, mask_day, height, width, pos).
+
+    `only` limits the frames by frame_id, once the image bytes are gone and few pixels are left.
+    """
+    spots = candidates(images)
+    if only is not None:
+        spots = spots.join(only.select("frame_id"), "frame_id", "left_semi")
+    under = stencil.pack(apply_mask(spots, mask), *SIGHT)
     steps = stencil.erode(size), fill, largest, stencil.dilate(size), fill, largest
     return under.withColumn("pos", stencil.reshape(F.col("pos"), *steps)).where(F.size("pos") > 0)
 
@@ -56,9 +62,11 @@ def accept(discs: DataFrame, least: int = 15, most: int = 100, filled: float = 0
     return discs.where(F.col("r").between(least, most) & (share >= filled))
 
 
-def detect(images: DataFrame, mask: DataFrame, least: int = 15, most: int = 100, filled: float = 0.5) -> DataFrame:
+def detect(
+    images: DataFrame, mask: DataFrame, only: DataFrame | None = None, least: int = 15, most: int = 100, filled: float = 0.5
+) -> DataFrame:
     """Suns as (frame_id, device_id, mask_day, cx, cy, r, area, disc_area)."""
-    found = enclosing_circles(sun_regions(images, mask)).withColumn("area", F.size("pos").cast("bigint")).drop("pos")
+    found = enclosing_circles(sun_regions(images, mask, only)).withColumn("area", F.size("pos").cast("bigint")).drop("pos")
     # the radius is known before the mask is joined, so hopeless discs stop here
     likely = found.where(F.col("r").between(least, most))
     mask_images = stencil.pack(mask, "device_id", "day").select(

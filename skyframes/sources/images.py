@@ -52,23 +52,22 @@ def read_sequence_files(spark: SparkSession, path: str, splits: int = 4) -> Data
     return spark.createDataFrame(pairs.map(lambda p: (p[0], bytes(p[1]))), "name string, content binary")
 
 
-def compact_frames(spark: SparkSession, source: str, target: str, splits: int | None = None) -> None:
+def compact_frames(spark: SparkSession, source: str, target: str) -> None:
     """Pack many small image files into Parquet partitioned by device and day.
 
-    Rows are spread by name within their device and day, so a camera with most of the files
-    still writes with many tasks; `splits` is the number of files at most per device and day.
+    Rebalancing gathers each device and day, and splits those that outgrow a task, so a
+    camera with most of the files is written by many tasks.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     rows = files.select(name.alias("name"), *_named(name), "content").where("device_id is not null and day is not null")
-    spread = F.pmod(F.xxhash64("name"), F.lit(splits or 1))
-    rows.repartition("device_id", "day", spread).write.partitionBy("device_id", "day").parquet(target)
+    gathered = rows.hint("rebalance", F.col("device_id"), F.col("day"))
+    gathered.write.partitionBy("device_id", "day").parquet(target)
 
 
 def write_result(table: DataFrame, path: str) -> None:
     """Store a result table (sky_mask, sun_pairs, sun_track) partitioned by day.
 
-    Rows of a day stay spread over their tasks; gathering a day in one task would make the
-    busiest day the bottleneck.
+    Rebalancing keeps the number of files small without gathering a busy day in one task.
     """
-    table.write.mode("errorifexists").partitionBy("day").parquet(path)
+    table.hint("rebalance", F.col("day")).write.mode("errorifexists").partitionBy("day").parquet(path)

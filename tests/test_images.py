@@ -46,7 +46,7 @@ def test_images_become_bgr_pixels(spark, folder):
 
 def test_compaction_keeps_every_file_and_its_bytes(spark, folder, tmp_path):
     target = str(tmp_path / "packed")
-    src.compact_frames(spark, folder, target, splits=2)
+    src.compact_frames(spark, folder, target)
     back = spark.read.parquet(target)
     assert back.count() == 4 and back.where("device_id = '04E670000001' and day = 19727").count() == 2
     content = back.where(F.col("name") == NAMES[1]).first().content

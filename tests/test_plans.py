@@ -7,7 +7,7 @@ from skyframes.operators import mask
 from skyframes.plans import ingest, sky, suntrack
 
 
-def test_scene_track_follows_the_planted_sun(spark, sf_dir):
+def test_scene_track_follows_the_planted_sun(spark, sf_dir, monkeypatch):
     images = views.scene_images(spark, sf_dir)
     sky_mask = sky.sky_mask(images)
     agreed = suntrack.agreed_suns(images, sky_mask, tolerance=1800, least=2, most=10)
@@ -16,6 +16,9 @@ def test_scene_track_follows_the_planted_sun(spark, sf_dir):
     for r in rows:
         assert r.mask_day == r.day and abs(r.neighbour_day - r.day) == 1
         assert (r.cx - r.match_cx) ** 2 + (r.cy - r.match_cy) ** 2 < (r.r + r.match_r) ** 2
+    monkeypatch.setattr(suntrack, "BROADCAST_PAIRS", 0)
+    again = suntrack.agreed_suns(images, sky_mask, tolerance=1800, least=2, most=10)
+    assert sorted(map(str, again.select(*agreed.columns).collect())) == sorted(map(str, rows))
     tracks = suntrack.sun_track(images, sky_mask, 48, 48, tolerance=1800, least=2, most=10).collect()
     assert all(t.n > 3 for t in tracks)
 

@@ -4,6 +4,7 @@ import pytest
 from compare import database, difference
 
 import __spark_entry__ as entry
+from skyframes.catalog.queries import QUERIES
 
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
 
@@ -14,10 +15,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches_sql(spark, sf_dir, con, name):
     sql = entry.oracle_sql()[name]
     df = entry.queries()[name](spark, sf_dir)

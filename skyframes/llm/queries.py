@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, rules
+from . import compression, decontaminate, language, rules, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _part(parts: int):
+    """Remainder of an id's checksum, by which rows are held out of training."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(F.coalesce(_part(3) != 1, F.lit(True))))
+    out = language.predicted(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(_part(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "shares")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -21,6 +33,27 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = secrets.scanned(docs, secrets.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "tagged")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select(
+        "doc_id", *map(count, secrets.KINDS[:3]), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = compression.fit(docs, labels.filter(_part(4) != 2))
+    out = compression.scored(docs, model)
+    return out.select("doc_id", F.coalesce(_part(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.judged(docs).select(
@@ -29,7 +62,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_benchmark_decontamination, op9_quality_rules,
+    op2_language_mixture, op5_benchmark_decontamination, op6_secret_scan, op7_compression_quality, op9_quality_rules,
 )}
 
 ORACLE = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, language, rules, secrets
+from . import compression, decontaminate, language, mixing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,17 @@ def _part(parts: int):
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    full = F.col("record_type") == "response"
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        F.when(full, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(full, F.sha2("payload", 256)).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(F.coalesce(_part(3) != 1, F.lit(True))))
@@ -24,6 +35,18 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(_part(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "shares")
 
 
+#: (action, host, path) that fit a host and its subdomains
+HOST_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    out = urls.judged(pages, [urls.host_rule(*r) for r in HOST_RULES] + urls.WORD_RULES)
+    return out.select("page_id", "host", "path", F.when(F.col("tier") == 1, F.col("rule")).alias("rule"), "verdict")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -61,11 +84,55 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """Domains of the labels table."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").when(F.col("quality") == 1, "clean").alias("domain"))
+
+
+#: share of all tokens that each domain shall have
+TARGETS = {"clean": 0.9, "junk": 0.06, "toxic": 0.04}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = mixing.mixed_to(docs, labelled_domains(table(spark, sf_dir, "labels")), TARGETS)
+    return out.select("doc_id", "n_tokens", "domain", "posterior", "rate")
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_language_mixture, op5_benchmark_decontamination, op6_secret_scan, op7_compression_quality, op9_quality_rules,
+    op1_warc, op2_language_mixture, op3_url_filters, op5_benchmark_decontamination, op6_secret_scan,
+    op7_compression_quality, op9_quality_rules, op10_mixing,
 )}
 
 ORACLE = {
+    "op1_warc": """
+        with d as (
+            select page_id, octet_length(encode(coalesce(html, ''))) n, sha256(coalesce(html, '')) h from pages),
+        f as (select *, case when n >= 100 then min(page_id) over (partition by h) end first from d)
+        select page_id, n::bigint payload_bytes, h payload_digest,
+            case when page_id > first then 'revisit' else 'response' end record_type,
+            case when page_id > first then first end refers_to
+        from f""",
+    "op3_url_filters": r"""
+        with u as (
+            select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end rest from pages),
+        p as (
+            select page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from u),
+        r(action, rhost, rpath) as (values
+            ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+            ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        w(word1, word2) as (values ('casino', 'casino'), ('poker', 'poker'), ('porn', 'porn'), ('xxx', 'xxx'), ('viagra', 'viagra'),
+            ('warez', 'warez'), ('torrent', 'download'), ('exe', 'exe'), ('apk', 'apk'), ('ads', 'click')),
+        best as (
+            select page_id, arg_max(rhost || rpath, length(rhost || rpath)) rule, arg_max(action, length(rhost || rpath)) action
+            from p join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath) group by 1),
+        bad as (
+            select distinct page_id from p join w
+            on list_contains(regexp_extract_all(lower(host || path), '[a-z0-9]+'), word1)
+                and list_contains(regexp_extract_all(lower(host || path), '[a-z0-9]+'), word2))
+        select page_id, host, path, rule, coalesce(action, case when bad.page_id is null then 'allow' else 'block' end) verdict
+        from p left join best using (page_id) left join bad using (page_id)""",
     "op5_benchmark_decontamination": r"""
         with docs as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, language, mixing, rules, secrets, urls, warc
+from . import compression, decontaminate, jaccard, language, mixing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(_part(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.judged(docs).select(
@@ -101,7 +105,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_language_mixture, op3_url_filters, op5_benchmark_decontamination, op6_secret_scan,
-    op7_compression_quality, op9_quality_rules, op10_mixing,
+    op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing,
 )}
 
 ORACLE = {

@@ -27,17 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def appended(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], list]) -> DataFrame:
+def appended(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], list], without: tuple[str, ...] = ()) -> DataFrame:
     """Add columns that a function computes for a batch of rows at once.
 
     function: gets a record batch, returns one array (or list) for each new column.
-    Columns of the input with the same names are replaced.
+    Columns of the input with the same names are replaced, and those of `without` go.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(schema)
-    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in new.names}]
+    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in [*new.names, *without]}]
     narrow = df.select(*[F.col(f"`{c}`") for c in df.columns])
     fields = to_arrow_schema(new)
 

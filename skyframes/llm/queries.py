@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, jaccard, language, mixing, rules, secrets, urls, warc
+from . import compression, decontaminate, jaccard, language, mixing, rules, secrets, substrings, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", F.when(F.col("tier") == 1, F.col("rule")).alias("rule"), "verdict")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -104,7 +109,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op2_language_mixture, op3_url_filters, op5_benchmark_decontamination, op6_secret_scan,
+    op1_warc, op2_language_mixture, op3_url_filters, op4_substring_dedup, op5_benchmark_decontamination, op6_secret_scan,
     op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing,
 )}
 
@@ -137,6 +142,37 @@ ORACLE = {
                 and list_contains(regexp_extract_all(lower(host || path), '[a-z0-9]+'), word2))
         select page_id, host, path, rule, coalesce(action, case when bad.page_id is null then 'allow' else 'block' end) verdict
         from p left join best using (page_id) left join bad using (page_id)""",
+    "op4_substring_dedup": r"""
+        with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+        cuts as (select doc_id, i, w[i : i + 12] win from d, unnest(range(1, len(w) - 11)) t(i) where len(w) >= 13),
+        firsts as (select win, min(doc_id) lo from cuts group by 1),
+        gone as (
+            select distinct doc_id, j from cuts join firsts using (win), unnest(range(i, i + 13)) t(j) where doc_id > lo),
+        words as (select doc_id, j, w[j] word from d, unnest(range(1, len(w) + 1)) t(j)),
+        kept as (
+            select doc_id, string_agg(word, ' ' order by j) filter (where gone.j is null) txt, count(gone.j) n
+            from words left join gone using (doc_id, j) group by 1)
+        select doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_removed, sha256(coalesce(txt, '')) kept_sha256
+        from d left join kept using (doc_id)""",
+    "op8_jaccard_join": r"""
+        with recursive d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w
+            from documents),
+        s as (
+            select distinct doc_id, w[i : i + least(len(w), 4) - 1] g
+            from d, unnest(range(1, len(w) - least(len(w), 4) + 2)) t(i) where len(w) > 0),
+        n as (select doc_id, count(*) n from s group by 1),
+        common as (
+            select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        links as (
+            select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+        both_ways as (select a, b from links union all select b, a from links),
+        reach(node, least) as (
+            select doc_id, doc_id from d
+            union
+            select b, least from reach join both_ways on node = a where least < b)
+        select doc_id, coalesce(max(n.n), 0)::bigint n_shingles, min(least) component_id
+        from d left join n using (doc_id) join reach on node = doc_id group by 1""",
     "op5_benchmark_decontamination": r"""
         with docs as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w

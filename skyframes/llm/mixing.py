@@ -10,8 +10,8 @@ treats long and short documents alike. A document's rate depends only on its pos
 multipliers of the steps so far, so a step is one aggregate of a few numbers over a narrow table.
 
 Defined results: null or empty texts have no tokens and the rate 1 takes steps like any other; a
-domain with a target but no labelled row can't be filled and is left out, with the other targets
-scaled up; without labelled rows there is no posterior and all rates are 1; targets must be
+domain with a target but no labelled document can't be filled and is left out, with the other
+targets scaled up; a domain that has too little text gets high rates and may stay below its target; without labelled rows there is no posterior and all rates are 1; targets must be
 nonnegative and not all 0. Labels of one id that disagree count once each. Rows are rated one by
 one. Input columns of the results' names are replaced.
 """
@@ -108,6 +108,7 @@ def fit(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, most_chars
     if not got:
         return None
     got = sorted((r["id"] or "", r["y"], bytes(r["buckets"])) for r in got)
+    names = sorted({x[1] for x in got})  # a domain that no document has can't be learned, nor filled
     sets = [np.frombuffer(x[2], np.int32) for x in got]
     y = np.array([names.index(x[1]) for x in got])
     weights, bias = train(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets), y, len(names))
@@ -153,7 +154,8 @@ def rates(rows: DataFrame, targets: list[float], rounds: int = 60, close: float
     if not total:
         return rate, np.zeros(k)
     g = np.array([[got[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
-    inverse = np.linalg.inv(g + 1e-9 * np.trace(g) * np.eye(k))
+    # damped for domains of less than a thousandth of the tokens, whose targets may be out of reach
+    inverse = np.linalg.inv(g + 1e-3 * np.trace(g) * np.eye(k))
     wanted, reached = np.array(targets), g.sum(1)
     for _ in range(rounds):
         if np.abs(reached - wanted).max() <= close:

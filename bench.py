@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +23,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"))
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), stages=tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     # start the JVM and the Python workers before the clock does
     QUERIES["g01_components"](spark, sf_dir).write.format("noop").mode("overwrite").save()

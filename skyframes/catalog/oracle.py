@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-SIDE, TILE = 48, 8
+SIDE, TILE = 24, 8
 _VIEWS: dict[str, str] = {}
 
 
@@ -45,13 +45,12 @@ _view("requests", """select o_orderkey as request_id,
   concat('2024-01-', lpad(concat('', 1 + o_orderkey % 28), 2, '0')) as d2,
   case o_orderkey % 17 when 0 then '07:00PMx' else '07:00PM' end as t2 from orders""")
 _view("timed", "select frame_id, device_id, ts // 86400 - 19722 as day, ts % 86400 as tod from captures")
-_view("frames", """select *, (frame_id * 37) % 50 as lum, (frame_id * 53 + 11) % 47 as wal from timed
-  where day between 1 and 3 and tod between 32400 and 68399""")
-_view("scene", f"""with f as (select *, 4 + (21 * (tod - 32400)) // 36000 as cx from frames),
-  f2 as (select *, 6 + ((cx - 15) * (cx - 15)) // 15 as cy from f),
-  g as (select y, x, case when y < 28 and x < 30 then 1 when y < 20 and x >= 33 then 2 when y >= 34 then 3 else 0 end as part
+_view("frames", "select *, (frame_id * 37) % 50 as lum, (frame_id * 53 + 11) % 47 as wal from timed")
+_view("scene", f"""with f as (select *, 2 + (11 * tod) // 86400 as cx from frames),
+  f2 as (select *, 3 + ((cx - 7) * (cx - 7)) // 8 as cy from f),
+  g as (select y, x, case when y < 14 and x < 14 then 1 when y < 11 and x >= 16 then 2 when y >= 16 then 3 else 0 end as part
         from (select range as y from range({SIDE})) t cross join (select range as x from range({SIDE})) u),
-  h as (select *, (x - cx) * (x - cx) + (y - cy) * (y - cy) <= 16 as sun from f2 cross join g)
+  h as (select *, (x - cx) * (x - cx) + (y - cy) * (y - cy) <= 5 as sun from f2 cross join g)
   select frame_id, device_id, day, tod, y, x,
     cast(case when sun then 255 when part > 0 then 200 else 60 end as bigint) as b,
     cast(case when sun then 255 when part > 0 then 150 else 70 end as bigint) as g,
@@ -206,10 +205,15 @@ _HUE = """cast(floor(case when greatest(b, g, r) = least(b, g, r) then 0.0::doub
   else 240 + 60.0::double * (r - g) / (b - least(b, g, r)) end / 2 + 0.5) as bigint) % 180"""
 
 _view("luma", "select frame_id, y, x, (299 * r + 587 * g + 114 * b + 500) // 1000 as l from scene")
-_view("taps", """select frame_id, y + a.range as y, x + b.range as x, l as t, a.range ** 2 + b.range ** 2 as d2
-  from luma, range(-2, 3) a, range(-2, 3) b where a.range ** 2 + b.range ** 2 <= 4""")
-_view("smooth", """select frame_id, y, x, cast(floor(round(sum(w * t) / sum(w), 6) + 0.5) as bigint) as v from (
-  select *, exp(-(d2::double + (t - l) ** 2) / 5000) as w from luma join taps using (frame_id, y, x)) group by frame_id, y, x""")
+_view("across", """select frame_id, y, x, l, lag(l, 2) over w as w2, lag(l) over w as w1, lead(l) over w as e1, lead(l, 2) over w as e2
+  from luma window w as (partition by frame_id, y order by x)""")
+_view("taps", """select frame_id, y, x, l, [l, w2, w1, e1, e2, lag(l, 2) over w, lag(l) over w, lead(l) over w, lead(l, 2) over w,
+    lag(w1) over w, lag(e1) over w, lead(w1) over w, lead(e1) over w] as t
+  from across window w as (partition by frame_id, x order by y)""")
+_D2 = "[0, 4, 1, 1, 4, 4, 1, 1, 4, 2, 2, 2, 2]"
+_view("smooth", f"""select frame_id, y, x, cast(floor(round(list_sum(v) / list_sum(w), 6) + 0.5) as bigint) as v from (
+  select frame_id, y, x, {', '.join(f"case when t[{i}] is null then 0 else exp(-({_D2}[{i}]::double + (t[{i}] - l) ** 2) / 5000) end as w{i}" for i in range(1, 14))},
+    [{', '.join(f'w{i} * coalesce(t[{i}], 0)' for i in range(1, 14))}] as v, [{', '.join(f'w{i}' for i in range(1, 14))}] as w from taps)""")
 _view("slopes", """select frame_id, y, x, coalesce(lead(v) over w, v) - coalesce(lag(v) over w, v) as h,
   coalesce(lag(v) over w, v) + 2 * v + coalesce(lead(v) over w, v) as s from smooth window w as (partition by frame_id, y order by x)""")
 _view("sobel", """select frame_id, y, x, coalesce(lag(h) over w, h) + 2 * h + coalesce(lead(h) over w, h) as gx,
@@ -217,10 +221,14 @@ _view("sobel", """select frame_id, y, x, coalesce(lag(h) over w, h) + 2 * h + co
 _view("mags", """select *, abs(gx) + abs(gy) as mag, case when 100000 * abs(gy) < 41421 * abs(gx) then 0 else -1 end as py,
   case when 100000 * abs(gy) < 41421 * abs(gx) then -1 when 100000 * abs(gy) > 241421 * abs(gx) then 0 when gx * gy >= 0 then -1 else 1 end as px
   from sobel""")
-_view("ridges", """select m.frame_id, m.y, m.x, m.mag from mags m
-  left join mags p on p.frame_id = m.frame_id and p.y = m.y + m.py and p.x = m.x + m.px
-  left join mags n on n.frame_id = m.frame_id and n.y = m.y - m.py and n.x = m.x - m.px
-  where m.mag > coalesce(p.mag, 0) and m.mag >= coalesce(n.mag, 0)""")
+_view("mags_across", """select *, coalesce(lag(mag) over w, 0) as w, coalesce(lead(mag) over w, 0) as e
+  from mags window w as (partition by frame_id, y order by x)""")
+_view("mags_around", """select *, coalesce(lag(mag) over w, 0) as n, coalesce(lag(w) over w, 0) as nw, coalesce(lag(e) over w, 0) as ne,
+    coalesce(lead(mag) over w, 0) as s, coalesce(lead(w) over w, 0) as sw, coalesce(lead(e) over w, 0) as se
+  from mags_across window w as (partition by frame_id, x order by y)""")
+_view("ridges", """select frame_id, y, x, mag from mags_around
+  where mag > case when py = 0 then w when px = 0 then n when px = -1 then nw else ne end
+    and mag >= case when py = 0 then e when px = 0 then s when px = -1 then se else sw end""")
 _view("linked", """select frame_id, y, x from ridges where mag > 200
   union select w.frame_id, w.y, w.x from (select frame_id, y + a.range - 1 as y, x + b.range - 1 as x from linked, range(3) a, range(3) b) l
   join (select * from ridges where mag > 100) w using (frame_id, y, x)""", "(frame_id, y, x)")
@@ -255,9 +263,9 @@ _view("mask", """select device_id, day, y, x from outlines join outline_ranks us
 
 # ---- suns ---------------------------------------------------------------------------------
 
-_SIGHT = "frame_id, device_id, mask_day"
+_SIGHT = "frame_id, mask_day"
 _view("served", "select device_id, day as mask_day, y, x, unnest([day - 1, day, day + 1]) as day from mask")
-_view("lit", f"""select frame_id, device_id, mask_day, y, x from (select * from scene where {_HUE} <= 10)
+_view("lit", f"""select frame_id, mask_day, y, x from (select * from scene where {_HUE} <= 10)
   join served using (device_id, day, y, x)""")
 _eroded("lit_core", "lit", _SIGHT, 1, SIDE)
 _filled("core_solid", "lit_core", _SIGHT)
@@ -270,10 +278,14 @@ _labelled("halos", "halo_solid", _SIGHT, SIDE)
 _ranked("halo_ranks", "halos", _SIGHT)
 _view("sun_region", f"select {_SIGHT}, y, x, h.area from halos h join halo_ranks using ({_SIGHT}, label) where place = 1")
 _circled("sun_circles", "sun_region", _SIGHT)
-_view("sun_discs", f"select * from sun_circles join (select distinct {_SIGHT}, area from sun_region) using ({_SIGHT}) where r between 2 and 10")
+_view("sun_discs", f"""select * from sun_circles join (select distinct {_SIGHT}, area from sun_region) using ({_SIGHT})
+  join (select frame_id, device_id from timed) using (frame_id) where r between 1 and 5""")
 _view("mask_of_day", "select device_id, day as mask_day, y, x from mask")
 _disc_area("sun_disc_area", "sun_discs", "mask_of_day", "device_id, mask_day", _SIGHT, SIDE)
 
+_view("found_suns", f"""select device_id, mask_day, frame_id, cx, cy, r, area, disc_area from sun_discs
+  join sun_disc_area using ({_SIGHT}) where area::double / disc_area >= 0.5""")
+
 _filled("tile_solid", "tile_fg", "image_key")
 _labelled("tile_parts", "tile_solid", "image_key", TILE)
 _ranked("tile_ranks", "tile_parts", "image_key")
@@ -338,6 +350,13 @@ ORACLE: dict[str, str] = {
         "p01_request_validate": "select * from checked",
         "p02_quarantine_counts": """select code, count(*) as n from (select unnest(string_split(errors, ',')) as code from checked
             where errors <> '') group by code""",
+        "p02_window_rejects": """select request_id, dev_id, case when errors = '' then 'unknown_device' else errors end as errors from checked
+            where errors <> '' or dev_id not in (select device_id from offsets)""",
+        "e1_ingest": """select request_id, c.dev_id as device_id, t1, t2, case when w.request_id is not null then null
+            when errors = '' then 'unknown_device' else errors end as errors
+            from (select request_id, dev_id, errors from checked) c left join (select request_id, t1, t2 from windows) w using (request_id)""",
+        "s08_landing_rejects": """select frame_id, device_id, case when device_id in (select device_id from offsets) then 'same_second'
+            else 'unknown_device' end as reason from captures where frame_id not in (select frame_id from names)""",
         "p03_epoch_window": "select * from windows",
         "p04_three_day_window": """select device_id as dev_id, d as d1, '09:00AM' as t1, d as d2, '07:00PM' as t2
             from devices, (values ('2024-01-28'), ('2024-01-29'), ('2024-01-30')) v(d)""",
@@ -379,9 +398,11 @@ ORACLE: dict[str, str] = {
         "u02_enclosing_circle": "select * from tile_circles",
         "u03_disc_area": """select image_key, component, cx, cy, r, coalesce(disc_area, 0) as disc_area
             from tile_circles left join tile_disc_area using (image_key, component)""",
-        "u04_sun_detect": f"""select device_id, mask_day, frame_id, cx, cy, r, area, disc_area from sun_discs
-            join sun_disc_area using ({_SIGHT}) where area::double / disc_area >= 0.5""",
+        "u04_sun_detect": "select * from found_suns",
         "u05_sun_pairs": "select * from agreed",
+        "e3_agreed_suns": """select device_id, day, neighbour_day, frame_id, match_id, a.cx, a.cy, a.r, b.cx as match_cx, b.cy as match_cy, b.r as match_r
+            from pairs p join found_suns a using (device_id, frame_id) join found_suns b on b.frame_id = p.match_id and b.mask_day = p.day
+            where a.mask_day = p.day and (a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2 < (a.r + b.r) ** 2""",
         "t01_centroids": "select * from centres",
         "t02_flip_rotate": """select device_id, day, round(cx * cos(0.79::double) - (640 - cy) * sin(0.79::double), 4) as u,
             round(cx * sin(0.79::double) + (640 - cy) * cos(0.79::double), 4) as v from centres""",

@@ -12,13 +12,13 @@ from skyframes.functions import color
 from skyframes.functions.names import time_of_day
 from skyframes.operators import edges, mask, pairing, regions, requests, stencil, sun, track
 from skyframes.operators.kernels import fill
-from skyframes.plans import sky
+from skyframes.plans import ingest, sky, suntrack
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# the scene is 48 pixels wide, so its suns are smaller than the default limits
-SCENE_SUN = {"least": 2, "most": 10}
+# the scene is 24 pixels wide, so its suns are smaller than the default limits
+SCENE_SUN = {"least": 1, "most": 5}
 THETA = 0.79
 
 
@@ -82,6 +82,22 @@ def p02(spark, sf_dir):
     return requests.quarantine_counts(requests.validate(views.requests(spark, sf_dir)))
 
 
+@_query("p02_window_rejects")
+def p02_rejects(spark, sf_dir):
+    checked = requests.validate(views.requests(spark, sf_dir))
+    return requests.window_rejects(checked, views.devices(spark, sf_dir)).select("request_id", "dev_id", F.array_join("errors", ",").alias("errors"))
+
+
+@_query("e1_ingest")
+def e1(spark, sf_dir):
+    return ingest.every_request(views.requests(spark, sf_dir), views.devices(spark, sf_dir))
+
+
+@_query("s08_landing_rejects")
+def s08_rejects(spark, sf_dir):
+    return requests.landing_rejects(views.captures(spark, sf_dir), views.devices(spark, sf_dir))
+
+
 @_query("p03_epoch_window")
 def p03(spark, sf_dir):
     return _windows(spark, sf_dir)
@@ -188,14 +204,14 @@ def g03(spark, sf_dir):
 @_query("a04_region_rb_sum")
 def a04(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
-    return mask.region_sums(images, sky.regions(images))
+    return mask.region_sums(images, sky.regions(images)).drop("height", "width")
 
 
 @_query("a06_region_corr")
 def a06(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
     correlation = mask.region_correlation(mask.region_sums(images, sky.regions(images)))
-    return correlation.withColumn("corr", F.round("corr", 6))
+    return correlation.drop("height", "width").withColumn("corr", F.round("corr", 6))
 
 
 @_query("g04_region_decide")
@@ -212,8 +228,8 @@ def g05(spark, sf_dir):
 @_query("j01_mask_apply")
 def j01(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
-    pixels = stencil.pixel_rows(images, "frame_id", "device_id", "day")
-    return mask.apply_mask(pixels, sky.sky_mask(images)).drop("device_id", "day")
+    pixels = stencil.pixel_rows(images, "frame_id", "device_id", "day", "height", "width")
+    return mask.apply_mask(pixels, sky.sky_mask(images)).drop("device_id", "day", "height", "width")
 
 
 @_query("j02_day_pair_match")
@@ -277,6 +293,14 @@ def u04(spark, sf_dir):
     return sun.detect(images, sky.sky_mask(images), **SCENE_SUN)
 
 
+@_query("e3_agreed_suns")
+def e3(spark, sf_dir):
+    images = views.scene_images(spark, sf_dir)
+    return suntrack.agreed_suns(images, sky.sky_mask(images), **SCENE_SUN).select(
+        "device_id", "day", "neighbour_day", "frame_id", "match_id", "cx", "cy", "r", "match_cx", "match_cy", "match_r"
+    )
+
+
 @_query("t01_centroids")
 def t01(spark, sf_dir):
     return track.centroids(u05(spark, sf_dir))

@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from skyframes.functions.names import epoch_seconds
 from skyframes.operators import stencil
 
-SIDE = 48
+SIDE = 24
 TILE = 8
 KEYS = ("frame_id", "device_id", "day", "tod")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One of fewer files than cores, as in tests, is spread over the cores."""
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table if len(table.inputFiles()) >= cores else table.repartition(cores)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,34 +59,31 @@ def timed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        timed_captures(spark, sf_dir)
-        .where("day between 1 and 3 and tod between 32400 and 68399")
-        .selectExpr("*", "(frame_id * 37) % 50 as lum", "(frame_id * 53 + 11) % 47 as wal")
-    )
+    """All captures with what their pictures show: brightness of sky and wall."""
+    return timed_captures(spark, sf_dir).selectExpr("*", "(frame_id * 37) % 50 as lum", "(frame_id * 53 + 11) % 47 as wal")
 
 
 def scene_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scene as images: (frame_id, device_id, day, tod, height, width, data)."""
     shaped = (
         frames(spark, sf_dir)
-        .selectExpr("*", "4 + (21 * (tod - 32400)) div 36000 as cx")
-        .selectExpr("*", "6 + ((cx - 15) * (cx - 15)) div 15 as cy")
-        # a frame row is tiny until its bytes exist: spread the rows over all cores first
-        .repartition(spark.sparkContext.defaultParallelism, "frame_id")
+        .selectExpr("*", "2 + (11 * tod) div 86400 as cx")
+        .selectExpr("*", "3 + ((cx - 7) * (cx - 7)) div 8 as cy")
+        # a frame row is tiny until its bytes exist: spread the rows first
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "frame_id")
         .selectExpr("*", "concat('C896', hex(105 + lum)) as sky", "concat('C896', hex(105 + wal)) as wall", "'3C4650' as ground")
         .selectExpr(
             "*",
-            f"concat(repeat(sky, 30), repeat(ground, 3), repeat(sky, {SIDE - 33})) as both_skies",
-            f"concat(repeat(sky, 30), repeat(ground, {SIDE - 30})) as one_sky",
+            f"concat(repeat(sky, 14), repeat(ground, 2), repeat(sky, {SIDE - 16})) as both_skies",
+            f"concat(repeat(sky, 14), repeat(ground, {SIDE - 14})) as one_sky",
             f"repeat(ground, {SIDE}) as bare",
             f"repeat(wall, {SIDE}) as walled",
         )
     )
-    # half widths 4 3 3 2 0 of the disc of radius 4, by distance from its middle row
+    # half widths 2 2 1 of the disc of squared radius 5, by distance from its middle row
     data = f"""unhex(array_join(transform(transform(sequence(0, {SIDE - 1}), y -> named_struct(
-        'row', case when y < 20 then both_skies when y < 28 then one_sky when y < 34 then bare else walled end,
-        'half', get(array(4, 3, 3, 2, 0), cast(abs(y - cy) as int)))),
+        'row', case when y < 11 then both_skies when y < 14 then one_sky when y < 16 then bare else walled end,
+        'half', get(array(2, 2, 1), cast(abs(y - cy) as int)))),
       p -> if(p.half is null, p.row,
         overlay(p.row placing repeat('FFFFFF', 2 * p.half + 1) from cast(6 * (cx - p.half) + 1 as int)))), ''))"""
     return shaped.selectExpr(*KEYS, f"{SIDE} as height", f"{SIDE} as width", f"{data} as data")

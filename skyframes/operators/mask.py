@@ -51,23 +51,23 @@ def sky_regions(raw: DataFrame, size: int = 5, top: int = 3, part: int = 20) ->
 
 
 def region_images(region_rows: DataFrame) -> DataFrame:
-    """Regions of one device and day as one row of aligned arrays; at most one image in size."""
+    """Regions of one device, day and picture size as one row of aligned arrays; at most one image in size."""
     spot = F.struct((F.col("y") * F.col("width") + F.col("x")).cast("int").alias("pos"), "region")
-    return region_rows.groupBy("device_id", "day").agg(F.collect_list(spot).alias("spots"))
+    return region_rows.groupBy(*IMAGE).agg(F.collect_list(spot).alias("spots"))
 
 
 def region_sums(images: DataFrame, region_rows: DataFrame, slices: int = 8) -> DataFrame:
-    """Sum of |r - b| per frame and region of its own day.
+    """Sum of |r - b| per frame and region of its own day and picture size.
 
     A frame meets the regions as one row and only then becomes pixels, so the join moves
     3 bytes per pixel instead of a table row; the sums combine before their shuffle. A day of
     frames is gigabytes and a busy day more, so frames are spread over `slices` copies of the
     one regions row of their day.
     """
-    frame = ("frame_id", "device_id", "day")
+    frame = ("frame_id", *IMAGE)
     spread = images.select(*frame, "data", F.pmod(F.xxhash64("frame_id"), F.lit(slices)).cast("int").alias("slice"))
     copies = region_images(region_rows).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    met = spread.join(copies, ["device_id", "day", "slice"])
+    met = spread.join(copies, [*IMAGE, "slice"])
     bgr = F.get(F.col("pixels"), F.col("pos"))
     return (
         met.select(*frame, "spots", stencil.packed_pixels("data").alias("pixels"))
@@ -85,15 +85,15 @@ def region_correlation(sums: DataFrame, least: float = 0.3) -> DataFrame:
     """
     others = F.collect_list(F.when(F.col("region") > 1, F.struct("region", "rb_sum")))
     series = (
-        sums.groupBy("device_id", "day", "frame_id")
+        sums.groupBy(*IMAGE, "frame_id")
         .agg(F.max(F.when(F.col("region") == 1, F.col("rb_sum"))).alias("base"), others.alias("others"))
-        .select("device_id", "day", "base", F.inline("others"))
+        .select(*IMAGE, "base", F.inline("others"))
         .where("base is not null")
     )
     a, b = F.col("base").cast("double"), F.col("rb_sum").cast("double")
     corr = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     return (
-        series.groupBy("device_id", "day", "region")
+        series.groupBy(*IMAGE, "region")
         .agg(corr.alias("corr"))
         .withColumn("keep", F.coalesce(F.col("corr") >= least, F.lit(False)))
     )
@@ -101,8 +101,8 @@ def region_correlation(sums: DataFrame, least: float = 0.3) -> DataFrame:
 
 def decided_regions(region_rows: DataFrame, correlation: DataFrame) -> DataFrame:
     """Region 1 and the regions whose brightness follows it."""
-    kept = correlation.where("keep").select("device_id", "day", "region")
-    others = region_rows.where("region > 1").join(kept, ["device_id", "day", "region"], "left_semi")
+    kept = correlation.where("keep").select(*IMAGE, "region")
+    others = region_rows.where("region > 1").join(kept, [*IMAGE, "region"], "left_semi")
     return region_rows.where("region = 1").unionByName(others)
 
 
@@ -123,7 +123,9 @@ def mask_days(mask: DataFrame) -> DataFrame:
 def apply_mask(pixels: DataFrame, mask: DataFrame) -> DataFrame:
     """Pixel rows under each mask that serves their day, with its `mask_day`.
 
-    The key is a single pixel of a device and day, so no key is large.
+    The key is a single pixel of a device, day and picture size, so no key is large. Pixels
+    that name their `mask_day` meet that mask only.
     """
-    served = mask_days(mask).select("device_id", "day", "mask_day", "y", "x")
-    return pixels.join(served, ["device_id", "day", "y", "x"])
+    if "mask_day" in pixels.columns:
+        return pixels.join(mask.select(*IMAGE, "y", "x").withColumnRenamed("day", "mask_day"), ["device_id", "mask_day", *IMAGE[2:], "y", "x"])
+    return pixels.join(mask_days(mask).select(*IMAGE, "mask_day", "y", "x"), [*IMAGE, "y", "x"])

@@ -148,11 +148,9 @@ def pack(pixels: DataFrame, *keys: str) -> DataFrame:
     An image has H*W positions and (keys, y, x) is unique, so a group is never larger than
     one frame, however many frames were counted into it. The partition count is stated:
     the images go on to Arrow functions, where work per byte is high, and merging partitions
-    by their few bytes would leave most cores idle. It is the session's shuffle partition
-    count, or eight per core where the session's default is far above its cores.
+    by their few bytes would leave most cores idle. It is the session's shuffle partition count.
     """
-    spark = pixels.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     image = [*keys, "height", "width"]
     return pixels.select(*image, "y", "x").repartition(parts, *keys).groupBy(*image).agg(
         F.array_sort(F.collect_list((F.col("y") * F.col("width") + F.col("x")).cast("int"))).alias("pos")

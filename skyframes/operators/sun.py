@@ -24,11 +24,11 @@ def candidates(images: DataFrame, limit: int = 10) -> DataFrame:
 def sun_regions(images: DataFrame, mask: DataFrame, only: DataFrame | None = None, size: int = 3) -> DataFrame:
     """Largest sun-like region per frame and mask: (frame_id, device_id, mask_day, height, width, pos).
 
-    `only` limits the frames by frame_id, once the image bytes are gone and few pixels are left.
+    `only` lists the wanted (frame_id, mask_day); it is met once the image bytes are gone and few pixels are left.
     """
     spots = candidates(images)
     if only is not None:
-        spots = spots.join(only.select("frame_id"), "frame_id", "left_semi")
+        spots = spots.join(only.select("frame_id", "mask_day").distinct(), "frame_id")
     under = stencil.pack(apply_mask(spots, mask), *SIGHT)
     steps = stencil.erode(size), fill, largest, stencil.dilate(size), fill, largest
     return under.withColumn("pos", stencil.reshape(F.col("pos"), *steps)).where(F.size("pos") > 0)
@@ -66,11 +66,16 @@ def detect(
     images: DataFrame, mask: DataFrame, only: DataFrame | None = None, least: int = 15, most: int = 100, filled: float = 0.5
 ) -> DataFrame:
     """Suns as (frame_id, device_id, mask_day, cx, cy, r, area, disc_area)."""
-    found = enclosing_circles(sun_regions(images, mask, only)).withColumn("area", F.size("pos").cast("bigint")).drop("pos")
+    seen = sun_regions(images, mask, only)
+    # a region wider or higher than any accepted disc needs no circle
+    rows = (F.element_at("pos", -1) / F.col("width")).cast("int") - (F.element_at("pos", 1) / F.col("width")).cast("int")
+    columns = F.transform("pos", lambda p: p % F.col("width"))
+    narrow = seen.where((rows <= 2 * most + 3) & (F.array_max(columns) - F.array_min(columns) <= 2 * most + 3))
+    found = enclosing_circles(narrow).withColumn("area", F.size("pos").cast("bigint")).drop("pos")
     # the radius is known before the mask is joined, so hopeless discs stop here
     likely = found.where(F.col("r").between(least, most))
     mask_images = stencil.pack(mask, "device_id", "day").select(
-        "device_id", F.col("day").alias("mask_day"), F.col("pos").alias("mask_pos")
+        "device_id", F.col("day").alias("mask_day"), "height", "width", F.col("pos").alias("mask_pos")
     )
-    measured = disc_areas(likely.join(mask_images, ["device_id", "mask_day"]), "mask_pos")
+    measured = disc_areas(likely.join(mask_images, ["device_id", "mask_day", "height", "width"]), "mask_pos")
     return accept(measured, least, most, filled).drop("height", "width")

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skyframes.operators import requests as rq
 
 
 def select_captures(requests: DataFrame, devices: DataFrame, captures: DataFrame) -> dict[str, DataFrame]:
-    """Selected captures with an image, landing folders, and the two kinds of refused requests."""
+    """Selected captures with an image, windows, landing folders, and the two kinds of refused requests.
+
+    Every request is in `windows` or in `quarantine`, and only in one of them.
+    """
     checked = rq.validate(requests)
     windows = rq.epoch_windows(checked, devices)
     selected = rq.captures_in_windows(windows, captures)
     return {
         "selected": rq.with_image(selected),
+        "windows": windows,
         "folders": rq.landing_folders(windows),
         "without_images": rq.requests_without_images(windows, selected),
-        "quarantine": rq.quarantine(checked),
+        "quarantine": rq.window_rejects(checked, devices),
     }
+
+
+def every_request(requests: DataFrame, devices: DataFrame) -> DataFrame:
+    """Each request once: its window, or the codes of why it has none."""
+    checked = rq.validate(requests)
+    windows = rq.epoch_windows(checked, devices).select("request_id", "device_id", "t1", "t2", F.lit(None).cast("string").alias("errors"))
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("t1", "t2")]
+    rejects = rq.window_rejects(checked, devices)
+    return windows.unionByName(rejects.select("request_id", F.col("dev_id").alias("device_id"), *none, F.array_join("errors", ",").alias("errors")))

@@ -8,22 +8,16 @@ from pyspark.sql import functions as F
 from skyframes.operators import pairing, sun, track
 from skyframes.session import stage_table
 
-# two 8-byte ids per pair: 8 MB at most
-BROADCAST_PAIRS = 500_000
-
-
 def agreed_suns(images: DataFrame, mask: DataFrame, tolerance: int = 120, **limits) -> DataFrame:
     """Pairs of overlapping suns of a day and its neighbours, seen under that day's mask.
 
-    Frames are matched by time first. A list of matched frames that is small enough to be
-    sent to every task keeps the others from being opened; a longer one would move all image
-    bytes to meet it, so it is joined to the few sun-like pixels instead.
+    Frames are matched by time first, which reads their metadata only. The matched frames,
+    each with the days of the masks it is wanted under, meet the few sun-like pixels and not
+    the image bytes.
     """
     frames = images.select("frame_id", "device_id", "day", "tod")
     pairs = stage_table(pairing.day_pairs(frames, tolerance), "pairs").withColumn("mask_day", F.col("day"))
-    used = pairs.select("frame_id").unionByName(pairs.select(F.col("match_id").alias("frame_id")))
-    if pairs.count() <= BROADCAST_PAIRS:
-        images, used = images.join(F.broadcast(used), "frame_id", "left_semi"), None
+    used = pairs.select("frame_id", "mask_day").unionByName(pairs.select(F.col("match_id").alias("frame_id"), "mask_day"))
     suns = stage_table(sun.detect(images, mask, used, **limits), "suns")
     return pairing.overlapping(pairing.pairs_with_suns(pairs, suns, "mask_day"))
 

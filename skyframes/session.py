@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; a cluster brings its own."""
-    return (
+def local_session(cores: int | str = 8, memory: str = "8g", stages: str | None = None) -> SparkSession:
+    """A session for tests and the benchmark; a cluster brings its own.
+
+    `stages` is the folder for stage tables if no configuration names one.
+    """
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("skyframes")
         .config("spark.driver.memory", memory)
@@ -21,18 +22,21 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+    if stages and not _configured(spark):
+        spark.conf.set("spark.checkpoint.dir", stages)
+    return spark
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """Folder for stage tables: the cluster's checkpoint folder, or a temporary one in local tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.path.join(tempfile.gettempdir(), f"skyframes-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """This run's folder for stage tables, in the folder every executor can reach."""
+    shared = _configured(spark)
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return f"{shared.rstrip('/')}/skyframes-{spark.sparkContext.applicationId}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -44,4 +48,10 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Remove the stage tables of this run; results that read them can't be read after that."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,10 +8,10 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from skyframes.session import local_session
 
-    session = local_session(8, "6g")
+    session = local_session(8, "6g", str(tmp_path_factory.mktemp("stages")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

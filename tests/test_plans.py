@@ -7,20 +7,17 @@ from skyframes.operators import mask
 from skyframes.plans import ingest, sky, suntrack
 
 
-def test_scene_track_follows_the_planted_sun(spark, sf_dir, monkeypatch):
+def test_scene_track_follows_the_planted_sun(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
     sky_mask = sky.sky_mask(images)
-    agreed = suntrack.agreed_suns(images, sky_mask, tolerance=1800, least=2, most=10)
+    agreed = suntrack.agreed_suns(images, sky_mask, tolerance=1800, least=1, most=5)
     rows = agreed.collect()
     assert rows
     for r in rows:
         assert r.mask_day == r.day and abs(r.neighbour_day - r.day) == 1
         assert (r.cx - r.match_cx) ** 2 + (r.cy - r.match_cy) ** 2 < (r.r + r.match_r) ** 2
-    monkeypatch.setattr(suntrack, "BROADCAST_PAIRS", 0)
-    again = suntrack.agreed_suns(images, sky_mask, tolerance=1800, least=2, most=10)
-    assert sorted(map(str, again.select(*agreed.columns).collect())) == sorted(map(str, rows))
-    tracks = suntrack.sun_track(images, sky_mask, 48, 48, tolerance=1800, least=2, most=10).collect()
-    assert all(t.n > 3 for t in tracks)
+    tracks = suntrack.sun_track(images, sky_mask, 24, 24, tolerance=1800, least=1, most=5).collect()
+    assert tracks and all(t.n > 3 for t in tracks)
 
 
 def test_regions_zero_to_three(spark):
@@ -43,6 +40,7 @@ def test_constant_brightness_is_not_kept(spark):
 
 def test_ingest_splits_requests(spark, sf_dir):
     got = ingest.select_captures(views.requests(spark, sf_dir), views.devices(spark, sf_dir), views.captures(spark, sf_dir))
-    assert got["quarantine"].count() > 0
+    assert got["quarantine"].count() + got["windows"].count() == views.requests(spark, sf_dir).count()
+    assert got["quarantine"].where("array_contains(errors, 'unknown_device')").count() > 0
     assert got["selected"].where("image_url is null").count() == 0
     assert got["folders"].count() > got["without_images"].count()

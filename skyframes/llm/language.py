@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import appended
+from .tables import appended, slices
 
 BITS = 16
 _PIECE = 1 << 18  # characters at a time
@@ -84,7 +84,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", seen: float = 0
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             langs = b.column(1).to_pylist()
             texts = b.column(0).to_pylist()
             for name in sorted(set(langs)):

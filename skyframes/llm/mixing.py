@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import appended, stored
+from .tables import appended, slices, stored
 from .words import Piece, mixed, pieces
 
 BITS = 18
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, most_chars
         picked = one if picked is None else picked.unionByName(one)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             made = []
             for p in pieces(b.column(2)):
                 row, bucket = features(p.split())

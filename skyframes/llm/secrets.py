@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import appended
+from .tables import appended, slices
 from .words import Piece, code_points, pieces
 
 # fixed values: the base patterns and the least lengths of what they find
@@ -275,7 +275,7 @@ def fit(docs: DataFrame, sample: int = 4000, around: int = 8, plain: int = 16, t
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             out = []
             for r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if r not in seen:

@@ -20,11 +20,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a stage's rows to the shared folder and read them back: lost executors cost no recomputation."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a stage's rows to the shared folder and read them back: lost executors cost no recomputation.
+
+    The shuffle files of the write are removed when it ends, as the table stands for them.
+    """
+    spark = df.sparkSession
+    path, before = new_folder(spark, name), spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts, so that what Python makes of them stays small; freed memory goes back."""
+    for b in batches:
+        for start in range(0, len(b), rows):
+            yield b.slice(start, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def appended(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], list], without: tuple[str, ...] = ()) -> DataFrame:
@@ -42,7 +61,7 @@ def appended(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], li
     fields = to_arrow_schema(new)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             made = [x if isinstance(x, pa.Array) else pa.array(x, fields.field(i).type) for i, x in enumerate(function(b))]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + made, names=kept + new.names)
 

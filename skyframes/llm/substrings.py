@@ -87,7 +87,10 @@ def _described(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def _windows(texts: DataFrame, window: int, seed: int) -> DataFrame:
-    """Windows that have one of the shared anchors: two hashes and positions; rows of another text of the id go."""
+    """Windows that have one of the shared anchors: two hashes and positions, without the texts.
+
+    Rows of another text of the id go.
+    """
 
     def judge(batch: pa.RecordBatch) -> list:
         same, out, row = [], [[], [], []], 0
@@ -111,19 +114,27 @@ def _windows(texts: DataFrame, window: int, seed: int) -> DataFrame:
                 into.append(_lists(x, p.doc[at], p.n))
         return [*(_chain(x, _LONGS) for x in out), same]
 
-    made = appended(texts, "g1 array<bigint>, g2 array<bigint>, at array<bigint>, same boolean", judge, ("shared",))
+    made = appended(texts, "g1 array<bigint>, g2 array<bigint>, at array<bigint>, same boolean", judge, ("shared", "text"))
     return made.filter("same").drop("same")
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
-    """texts (text, late: positions of windows to remove) with n_removed, digest of what is kept and the repeats."""
+    """texts (text, w1, late: positions of windows to remove) with n_removed, digest of what is kept and the repeats.
+
+    Rows of another text of the id go.
+    """
 
     def judge(batch: pa.RecordBatch) -> list:
-        removed, digests, repeats = [], [], []
-        for text, late in zip(batch.column("text").to_pylist(), batch.column("late").to_pylist()):
+        removed, digests, repeats, same = [], [], [], []
+        wanted = batch.column("w1").to_pylist()
+        for p in pieces(batch.column("text")):
+            h = p.split().hashes()
+            same += [text_hash(h[p.first[i] : p.first[i + 1]])[0] == wanted[len(same) + i] for i in range(p.n)]
+        for text, late, own in zip(batch.column("text").to_pylist(), batch.column("late").to_pylist(), same):
             words = text.encode().split()
+            late = late if own else []
             turn = np.zeros(len(words) + 1, np.int64)
-            at = np.unique(late)
+            at = np.unique(np.array(late, np.int64))
             turn[at] += 1
             turn[at + window] -= 1
             gone = np.cumsum(turn[:-1]) > 0
@@ -131,10 +142,10 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
             removed.append(int(gone.sum()))
             digests.append(hashlib.sha256(b" ".join(w for w, x in zip(words, gone) if not x)).hexdigest())
             repeats.append([{"start": int(a), "stop": int(b)} for a, b in edges])
-        return [removed, digests, repeats]
+        return [removed, digests, repeats, same]
 
-    schema = "n_removed bigint, kept_sha256 string, repeats array<struct<start: bigint, stop: bigint>>"
-    return appended(texts, schema, judge, ("text", "late"))
+    schema = "n_removed bigint, kept_sha256 string, repeats array<struct<start: bigint, stop: bigint>>, same boolean"
+    return appended(texts, schema, judge, ("text", "late")).filter("same").drop("same")
 
 
 def deduplicated(docs: DataFrame, window: int = 13, seed: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -146,13 +157,14 @@ def deduplicated(docs: DataFrame, window: int = 13, seed: int = 5, text: str = "
     copies = stored(real.select("doc_id", "w1", "w2").join(least, ["w1", "w2"]).filter("doc_id > least").select("doc_id", "w1").distinct(), "copies")
     leaders = real.join(copies, ["doc_id", "w1"], "left_anti")
     seeds = leaders.select("doc_id", "w1", F.explode("anchors").alias("anchor"))
-    shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
+    # tables of their own, so that the joins with them can split a hot anchor or window
+    shared = stored(seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor"), "anchors")
     hits = stored(seeds.join(shared, "anchor").groupBy("doc_id", "w1").agg(F.collect_set("anchor").alias("shared")), "hits")
     found = stored(_windows(rows.filter("doc_id is not null").join(hits, "doc_id"), window, seed), "windows")
     each = found.select("doc_id", "w1", F.explode(F.arrays_zip("g1", "g2", "at")).alias("x")).select("doc_id", "w1", "x.*")
-    first = each.groupBy("g1", "g2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
+    first = stored(each.groupBy("g1", "g2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "first-windows")
     late = stored(each.join(first, ["g1", "g2"]).filter("doc_id > lo").groupBy("doc_id", "w1").agg(F.collect_list("at").alias("late")), "late")
-    cut = stored(_cut(found.select("doc_id", "w1", "text").join(late, ["doc_id", "w1"]), window).dropDuplicates(["doc_id", "w1"]), "cut")
+    cut = stored(_cut(rows.filter("doc_id is not null").join(late, "doc_id"), window).dropDuplicates(["doc_id", "w1"]), "cut")
     gone = copies.withColumn("_gone", F.lit(True))
     out = all_.drop("anchors").join(gone, ["doc_id", "w1"], "left").join(cut, ["doc_id", "w1"], "left")
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("stop")))

@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TOKEN = re.compile("[a-z0-9]+")
 
+#: bytes of rules that go to every task at most
+MOST_SENT = 1 << 25
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -74,6 +77,8 @@ def indexed(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     spark = urls.sparkSession
     if lost := [r.name for r in rules if not r.tokens]:
         raise ValueError(f"rules without a literal token: {lost}")
+    # the rules come from the driver, so their size is known; beyond the limit the joins shuffle
+    sent = F.broadcast if sum(len(r.pattern) + len(r.name) + 100 for r in rules) <= MOST_SENT else (lambda df: df)
     listed = spark.createDataFrame(
         [(i, r.name, r.action, r.pattern, r.tier, r.length, sorted(set(r.tokens))) for i, r in enumerate(rules)],
         "_id int, name string, action string, pattern string, tier int, length int, tokens array<string>",
@@ -81,14 +86,14 @@ def indexed(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     wanted = listed.select("_id", F.explode("tokens").alias("_token"))
     counts = (
         urls.select(F.explode("_tokens").alias("_token"))
-        .join(wanted.select("_token").distinct(), "_token", "left_semi")
+        .join(sent(wanted.select("_token").distinct()), "_token", "left_semi")
         .groupBy("_token").count()
     )
     rarest = (
         wanted.join(counts, "_token", "left")
         .groupBy("_id").agg(F.min_by("_token", F.struct(F.coalesce("count", F.lit(0)), "_token")).alias("_token"))
     )
-    return listed.drop("tokens").join(rarest, "_id")
+    return sent(listed.drop("tokens").join(sent(rarest), "_id"))
 
 
 def judged(pages: DataFrame, rules: list[Rule], otherwise: str = "allow", url: str = "url") -> DataFrame:

@@ -15,7 +15,7 @@ m + l of either set. So:
 4. Order 2 (another hash, a longer prefix): of a document not yet linked to another one's component,
    l of the first m + l tokens must occur in another component. Few documents are left.
 5. Orders 3 and 4 (rarest first among those left, ties by two hashes): pairs of different components
-   that share a prefix token under both orders are verified.
+   that share a prefix token under both orders, at places that leave room for a link, are verified.
 
 Pairs inside one component need no check, so no link that matters is lost and large groups are
 never paired out. Tokens are 64-bit hashes; verification compares whole sets.
@@ -36,10 +36,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import appended, stored
+from .tables import appended, slices, stored
 from .words import Piece, grams, mixed, pieces
 
-_STARS = 4  # orders whose first tokens bring documents together
+_STARS = 8  # orders whose first tokens bring documents together
 _SIGNATURE = 16
 _SET = "h1 bigint, h2 bigint"
 
@@ -127,13 +127,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     both = pairs.join(side.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(side.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known: dict = {}
+        for batch in slices(batches, 256):
 
             def all_sets(name: str) -> list[np.ndarray]:
                 column = batch.column(name).dictionary_encode()
                 made = [x for p in pieces(column.dictionary) for x in sets(p.split(), k)]
-                known[name] = made
                 return [made[i] for i in column.indices.to_pylist()]
 
             link = []
@@ -166,24 +164,24 @@ def _stars(known: DataFrame, k: int, percent: int) -> DataFrame:
     return verified(tried, known, k, percent)
 
 
-def _prefix_pairs(tokens: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Pairs of different components that share a prefix token, rarest tokens first.
+def _prefix_pairs(heads: DataFrame, head: str, percent: int) -> DataFrame:
+    """Pairs of different components that share a prefix token early enough in both sets.
 
-    tokens: doc_id, h1, comp, n, spare (tokens that no other component has), df, token.
+    heads: doc_id, comp, n, spare (tokens that no other component has; they come first) and an
+    order's prefix. A linked pair has at least percent / (100 + percent) of both sizes in common,
+    all of them at or after the first common token.
     """
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("doc_id", "h1").orderBy("df", F.xxhash64("token", F.lit(salt)), "token"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("spare")
-    heads = tokens.withColumn("rank", rank).filter(F.col("rank") <= length).select("token", "doc_id", "comp", "n")
-    by = heads.groupBy("token", "comp").count().groupBy("token").agg(
+    each = heads.select("doc_id", "comp", "n", "spare", F.posexplode(head).alias("at", "token")).withColumn("rest", F.col("n") - F.col("spare") - F.col("at"))
+    each = each.select("token", "doc_id", "comp", "n", "rest")
+    by = each.groupBy("token", "comp").count().groupBy("token").agg(
         F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")
     ).filter("comps > 1").drop("comps")
-    heads = heads.join(by, "token")
+    each = each.join(by, "token")
     # each pair of components but the largest with itself: stragglers against all
-    left = heads.filter("comp != main").select("token", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "comp", "n")])
+    left = each.filter("comp != main").select("token", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "comp", "n", "rest")])
+    enough = (100 + percent) * F.least("rest_l", "rest") >= percent * (F.col("n_l") + F.col("n"))
     return (
-        left.join(heads, "token").filter((F.col("comp_l") != F.col("comp")) & _sizes_fit(F.col("n_l"), F.col("n"), percent))
+        left.join(each, "token").filter((F.col("comp_l") != F.col("comp")) & enough)
         .select(F.least("doc_id_l", "doc_id").alias("a"), F.greatest("doc_id_l", "doc_id").alias("b")).distinct()
     )
 
@@ -193,16 +191,24 @@ def _across(known: DataFrame, found: DataFrame, k: int, percent: int) -> DataFra
     comps = components(found)
     rows = known.join(comps, known["doc_id"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("node", "component")
     tokens = rows.select("doc_id", "h1", "comp", "need", F.explode("head").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
+    shared = stored(tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token"), "shared-across")
     open_ = tokens.join(shared, "token").groupBy("doc_id", "h1", "comp", "need").count().filter("count >= need").select("doc_id", "h1", "comp")
     left = stored(known.select("doc_id", "h1", "n", "text").join(open_, ["doc_id", "h1"]), "open")
-    full = appended(left, "tokens array<bigint>", lambda b: [_lists([x for p in pieces(b.column("text")) for x in sets(p.split(), k)])], ("text",))
-    each = stored(full.select("doc_id", "h1", "comp", "n", F.explode("tokens").alias("token")).distinct(), "open-tokens")
+    full = stored(appended(left, "tokens array<bigint>", lambda b: [_lists([x for p in pieces(b.column("text")) for x in sets(p.split(), k)])], ("text",)), "open-tokens")
+    each = full.select("doc_id", "h1", "comp", "n", F.explode("tokens").alias("token"))
     live = each.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("df")).filter("lo < hi").select("token", "df")
-    alive = each.join(live, "token")
-    spare = alive.groupBy("doc_id", "h1").agg((F.first("n") - F.count("*")).alias("spare"))
-    ranked = stored(alive.join(spare, ["doc_id", "h1"]), "live-tokens")
-    pairs = _prefix_pairs(ranked, percent, 1).intersect(_prefix_pairs(ranked, percent, 2))
+    live = stored(live, "live-tokens")
+    alive = each.join(live, "token").groupBy("doc_id", "h1", "comp", "n").agg(F.collect_set(F.struct("df", "token")).alias("alive"))
+    slots = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("spare")
+
+    def first(salt: int) -> Column:
+        """Order 3 or 4: rarest first, then by a hash."""
+        keyed = F.transform("alive", lambda t: F.struct(t["df"].alias("df"), F.xxhash64(t["token"], F.lit(salt)).alias("by"), t["token"].alias("token")))
+        return F.transform(F.slice(F.array_sort(keyed), 1, slots.cast("int")), lambda t: t["token"])
+
+    spared = alive.withColumn("spare", F.col("n") - F.size("alive")).filter(slots > 0)
+    heads = stored(spared.select("doc_id", "comp", "n", "spare", first(1).alias("three"), first(2).alias("four")), "heads")
+    pairs = _prefix_pairs(heads, "three", percent).intersect(_prefix_pairs(heads, "four", percent))
     return verified(stored(pairs, "pairs"), left, k, percent)
 
 
@@ -211,12 +217,16 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", d
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     all_ = stored(described(rows, k, percent, "text"), "sets")
     real = all_.filter("n > 0 and doc_id is not null")
-    least = stored(real.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("_z")), "classes")
-    equal = real.select("doc_id", "h1", "h2").join(least.filter("least < _z"), ["h1", "h2"]).filter("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    tokens = real.select("doc_id", "h1", "h2", "need", F.explode("head").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("token")
-    passed = tokens.join(shared, "token").groupBy("doc_id", "h1", "h2", "need").count().filter("count >= need")
-    first = passed.join(least.withColumnRenamed("least", "doc_id"), ["h1", "h2", "doc_id"], "left_semi").select("doc_id", "h1")
+    least = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("_z")).filter("least < _z").drop("_z")
+    copies = stored(real.select("doc_id", "h1", "h2").join(least, ["h1", "h2"]).filter("doc_id != least").select("doc_id", "h1", "least").distinct(), "copies")
+    equal = copies.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    own = real.join(copies, ["doc_id", "h1"], "left_anti")
+    tokens = own.select("doc_id", F.explode("head").alias("token"))
+    # a table of its own, so that the join with it can split a hot token
+    shared = stored(tokens.groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("token"), "shared")
+    # counts of an id with several texts are joint, which only lets more of them pass
+    counts = stored(tokens.join(shared, "token").groupBy("doc_id").count(), "shared-tokens")
+    first = own.select("doc_id", "h1", "need").join(counts, "doc_id").filter("count >= need").select("doc_id", "h1").distinct()
     texts = rows.filter("doc_id is not null").join(stored(first, "passed"), "doc_id")
     known = stored(_detailed(texts, k, percent), "survivors")
     found = stored(_stars(known, k, percent), "stars")

@@ -60,14 +60,20 @@ def _matcher(tolerance: int):
     return match_day
 
 
-def numbered(frames: DataFrame, block: int = 1 << 20) -> DataFrame:
+def numbered(frames: DataFrame, block: int = 4096) -> DataFrame:
     """Adds `rank`, the place of a frame by id among the frames of its device and second, from 0.
 
-    Ranks are counted within blocks of ids and moved by the sizes of the blocks before, so
-    not even a second that holds most of the rows is sorted in one task.
+    Ranks are counted within blocks of ids and moved by the sizes of the blocks before. The
+    ids of a second, dense or hashed, are cut into equal ranges, one for each `block` of its
+    frames, so a crowded second is sorted in parts if its ids are spread evenly.
     """
     part = [*MOMENT, "block"]
-    keyed = frames.select(*MOMENT, "frame_id").withColumn("block", F.floor(F.col("frame_id") / block))
+    ranges = frames.groupBy(*MOMENT).agg(F.min("frame_id").cast("double").alias("low"), F.max("frame_id").cast("double").alias("high"), F.count(F.lit(1)).alias("all"))
+    width = (F.col("high") - F.col("low") + 1) / F.ceil(F.col("all") / block)
+    keyed = (
+        frames.select(*MOMENT, "frame_id").join(ranges, MOMENT)
+        .select(*MOMENT, "frame_id", F.floor((F.col("frame_id").cast("double") - F.col("low")) / width).alias("block"))
+    )
     sizes = keyed.groupBy(*part).agg(F.count(F.lit(1)).alias("size"))
     earlier = Window.partitionBy(*MOMENT).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sizes.select(*part, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("ahead"))
@@ -93,7 +99,10 @@ def day_pairs(frames: DataFrame, tolerance: int = 120) -> DataFrame:
     )
     other = base.select("device_id", F.col("neighbour_day").alias("day"), F.col("day").alias("neighbour_day"), "tod", "n", F.lit(False).alias("is_base"))
     stretches = base.unionByName(other).groupBy("device_id", "day", "neighbour_day").applyInPandas(_matcher(tolerance), _STRETCHES)
-    pairs = stretches.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+    # in two steps, so that no array grows with a crowded second
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(n - 1) div 4096") * 4096, F.lit(4096).cast("bigint")))
+    in_chunk = F.explode(F.sequence(F.col("chunk"), F.least(F.col("chunk") + 4095, F.col("n") - 1)))
+    pairs = stretches.withColumn("chunk", chunk).withColumn("k", in_chunk).select(
         "device_id", "day", "neighbour_day", "tod", (F.col("first") + F.col("k")).alias("rank"),
         "match_tod", (F.col("match_first") + F.col("k")).alias("match_rank"),
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyframes.functions.names import time_of_day
 
@@ -23,18 +26,29 @@ def _frame_id(name: Column) -> Column:
     return F.xxhash64(F.regexp_extract(name, r"([^/]+)$", 1))
 
 
+@F.pandas_udf(T.BinaryType())
+def _bgr(data: pd.Series, channels: pd.Series) -> pd.Series:
+    def one(raw: bytes, n: int) -> bytes:
+        flat = np.frombuffer(raw, np.uint8)
+        return np.repeat(flat, 3).tobytes() if n == 1 else flat.reshape(-1, 4)[:, :3].tobytes()
+
+    return pd.Series([one(d, n) for d, n in zip(data, channels)])
+
+
 def three_channels(image: Column) -> Column:
     """B, G, R bytes of an image struct: a grey byte is repeated, an alpha byte dropped."""
-    data, text = image.getField("data"), F.hex(image.getField("data"))
-    return (
-        F.when(image.getField("nChannels") == 1, F.unhex(F.regexp_replace(text, "(..)", "$1$1$1")))
-        .when(image.getField("nChannels") == 4, F.unhex(F.regexp_replace(text, "(......)..", "$1")))
-        .otherwise(data)
-    )
+    data, channels = image.getField("data"), image.getField("nChannels")
+    odd = channels.isin(1, 4)
+    # the function gets the bytes of the pictures that need it, and a lone pixel for the others
+    made = _bgr(F.when(odd, data).otherwise(F.lit(b"\0")), F.when(odd, channels).otherwise(1))
+    return F.when(odd, made).otherwise(data)
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Images under a path as (frame_id, device_id, day, tod, path, height, width, data); broken files are left out."""
+    """Images under a path as (frame_id, device_id, day, tod, path, height, width, data).
+
+    Broken files are left out and a name that does not match gives no device; `rejected_files` lists both.
+    """
     image = F.col("image")
     origin = F.col("image.origin")
     return (
@@ -46,8 +60,26 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def rejected_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason) of the files that give no frame: `name` does not match, or the image is `broken`."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(_plain(F.col("path")).alias("path"))
+    images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
+    good = images.select(_plain(F.col("image.origin")).alias("path"))
+    judged = files.select("path", *_named(F.regexp_extract("path", r"([^/]+)$", 1)))
+    unnamed = judged.where("device_id is null or day is null or tod is null").select("path", F.lit("name").alias("reason"))
+    broken = judged.where("device_id is not null and day is not null and tod is not null").join(good, "path", "left_anti")
+    return unnamed.unionByName(broken.select("path", F.lit("broken").alias("reason")))
+
+
 def read_sequence_files(spark: SparkSession, path: str, splits: int = 4) -> DataFrame:
-    """(name, content) pairs of Hadoop sequence files, for a one-way import to Parquet."""
+    """(name, content) pairs of Hadoop sequence files, for a one-way import to Parquet.
+
+    Python handles each record, so this stays off the main path.
+    """
     pairs = spark.sparkContext.sequenceFile(path, minSplits=splits)
     return spark.createDataFrame(pairs.map(lambda p: (p[0], bytes(p[1]))), "name string, content binary")
 
@@ -56,7 +88,8 @@ def compact_frames(spark: SparkSession, source: str, target: str) -> None:
     """Pack many small image files into Parquet partitioned by device and day.
 
     Rebalancing gathers each device and day, and splits those that outgrow a task, so a
-    camera with most of the files is written by many tasks.
+    camera with most of the files is written by many tasks. Files whose name does not match
+    have no partition; `rejected_files` lists them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     name = F.regexp_extract("path", r"([^/]+)$", 1)

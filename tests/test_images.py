@@ -44,6 +44,12 @@ def test_images_become_bgr_pixels(spark, folder):
     assert pixels[32400, 2, 3] == (200, 103, 12) and pixels[32410, 1, 0] == (52, 52, 52) and pixels[68400, 0, 1] == (4, 2, 1)
 
 
+def test_files_without_a_frame_are_listed(spark, folder, tmp_path):
+    (tmp_path / "frames" / "holiday.png").write_bytes(png(1, 1, 3, lambda y, x: (1, 2, 3)))
+    got = {(r.path.rpartition("/")[2], r.reason) for r in src.rejected_files(spark, folder).collect()}
+    assert got == {("holiday.png", "name"), ("04E670000002_01-06-2024_19-00-05.png", "broken")}
+
+
 def test_compaction_keeps_every_file_and_its_bytes(spark, folder, tmp_path):
     target = str(tmp_path / "packed")
     src.compact_frames(spark, folder, target)

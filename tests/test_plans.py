@@ -1,9 +1,12 @@
 """Whole chains: regions under the sky rules, and the track of the scene's sun."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from skyframes import session
 from skyframes.catalog import views
-from skyframes.operators import mask
+from skyframes.operators import mask, sun
 from skyframes.plans import ingest, sky, suntrack
 
 
@@ -20,6 +23,54 @@ def test_scene_track_follows_the_planted_sun(spark, sf_dir):
     assert tracks and all(t.n > 3 for t in tracks)
 
 
+def test_two_picture_sizes_on_one_day_stay_apart(spark):
+    rng = np.random.default_rng(4)
+
+    def frame(i, day, high, wide):
+        bgr = np.zeros((high, wide, 3), np.uint8)
+        lum = int(rng.integers(0, 50))
+        bgr[:], bgr[: high // 2] = (60, 70, 80), (200, 150, 105 + lum)
+        bgr[: high // 2, wide // 2 : wide // 2 + 2] = (60, 70, 80)
+        cx, cy = 6 + i % 5, 5
+        y, x = np.mgrid[:high, :wide]
+        bgr[(x - cx) ** 2 + (y - cy) ** 2 <= 5] = 255
+        return (i, "d", day, 40000 + i, high, wide, bytearray(bgr.tobytes()))
+
+    schema = "frame_id long, device_id string, day long, tod long, height int, width int, data binary"
+    rows = [frame(i, 1 + i % 2, 24, 24) for i in range(12)] + [frame(100 + i, 1 + i % 2, 20, 32) for i in range(12)]
+
+    def results(some):
+        images = spark.createDataFrame(some, schema)
+        found = sky.regions(images)
+        sums = mask.region_sums(images, found)
+        final = sky.sky_mask(images)
+        sizes = images.select("device_id", "day", "height", "width").distinct()
+        rows_of = sizes.select("*", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y"))
+        whole = rows_of.select("*", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"))
+        suns = sun.detect(images, whole, least=1, most=5)
+        return [sorted(map(tuple, df.select(*sorted(df.columns)).collect())) for df in (found, sums, mask.region_correlation(sums), final, suns)]
+
+    empty = 0
+    for both, a, b in zip(results(rows), results(rows[:12]), results(rows[12:])):
+        assert both == sorted(a + b)
+        empty += not both
+    assert not empty
+
+
+def test_stage_tables_need_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(session, "_configured", lambda _: None)
+    with pytest.raises(ValueError):
+        session.stage_table(spark.range(3), "three")
+
+
+def test_stage_tables_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_configured", lambda _: f"file://{tmp_path}")
+    assert session.stage_table(spark.range(3), "three").count() == 3
+    assert list(tmp_path.iterdir())
+    session.drop_stage_tables(spark)
+    assert not list(tmp_path.iterdir())
+
+
 def test_regions_zero_to_three(spark):
     def block(device, top, left, high, wide):
         return [(device, 1, 60, 60, y, x) for y in range(top, top + high) for x in range(left, left + wide)]

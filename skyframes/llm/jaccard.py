@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import appended, slices, stored
+from .tables import appended, likely_in, slices, stored
 from .words import Piece, grams, mixed, pieces
 
 _STARS = 8  # orders whose first tokens bring documents together
@@ -193,7 +193,8 @@ def _across(known: DataFrame, found: DataFrame, k: int, percent: int) -> DataFra
     tokens = rows.select("doc_id", "h1", "comp", "need", F.explode("head").alias("token"))
     shared = stored(tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token"), "shared-across")
     open_ = tokens.join(shared, "token").groupBy("doc_id", "h1", "comp", "need").count().filter("count >= need").select("doc_id", "h1", "comp")
-    left = stored(known.select("doc_id", "h1", "n", "text").join(open_, ["doc_id", "h1"]), "open")
+    open_ = stored(open_, "open-ids")
+    left = stored(known.select("doc_id", "h1", "n", "text").filter(likely_in(open_, "doc_id")).join(open_, ["doc_id", "h1"]), "open")
     full = stored(appended(left, "tokens array<bigint>", lambda b: [_lists([x for p in pieces(b.column("text")) for x in sets(p.split(), k)])], ("text",)), "open-tokens")
     each = full.select("doc_id", "h1", "comp", "n", F.explode("tokens").alias("token"))
     live = each.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("df")).filter("lo < hi").select("token", "df")
@@ -227,7 +228,8 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", d
     # counts of an id with several texts are joint, which only lets more of them pass
     counts = stored(tokens.join(shared, "token").groupBy("doc_id").count(), "shared-tokens")
     first = own.select("doc_id", "h1", "need").join(counts, "doc_id").filter("count >= need").select("doc_id", "h1").distinct()
-    texts = rows.filter("doc_id is not null").join(stored(first, "passed"), "doc_id")
+    passed = stored(first, "passed")
+    texts = rows.filter("doc_id is not null").filter(likely_in(passed, "doc_id")).join(passed, "doc_id")
     known = stored(_detailed(texts, k, percent), "survivors")
     found = stored(_stars(known, k, percent), "stars")
     across = stored(_across(known, found, k, percent), "across")

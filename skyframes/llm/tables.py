@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def likely_in(keys: DataFrame, key: str, bits: int = 1 << 23) -> Column:
+    """A filter to put before a shuffle join on `key`: true for every key of the table and for few others.
+
+    A Bloom filter of fixed size (`bits`, a power of two; 1 MB), built by an aggregate and read as a
+    scalar subquery. It never drops a row of the join; with too many keys it drops few others.
+    """
+    h = F.xxhash64(key)
+    places = F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1)))
+    none = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    some = keys.select(F.explode(places).alias("at")).selectExpr("shiftright(at, 6) word", "shiftleft(1L, cast(at & 63 as int)) bits")
+    words = some.union(none).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    table = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])).scalar()
+
+    def hit(i: int) -> Column:
+        at = places[i]
+        return F.get(table, F.shiftright(at, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))) != 0
+
+    return hit(0) & hit(1)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Arrow batches in parts, so that what Python makes of them stays small; freed memory goes back."""
     for b in batches:

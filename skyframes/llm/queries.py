@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, jaccard, language, mixing, rules, secrets, substrings, urls, warc
+from . import compression, decontaminate, jaccard, language, lloyd, mixing, rules, secrets, substrings, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,12 +108,50 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "domain", "posterior", "rate")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lloyd.encoded(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_language_mixture, op3_url_filters, op4_substring_dedup, op5_benchmark_decontamination, op6_secret_scan,
-    op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing,
+    op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing, op11_vector_codes,
 )}
 
+
+def _lloyd_sql(rounds: int = 4) -> str:
+    """Rounds of assignment and update, one pair of tables each. Components are doubles that hold integers."""
+    near = """
+        a{r} as materialized (
+            select rid, p, min({{'d': list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), 'e': e}}) m
+            from parts join c{r} using (p) group by 1, 2)"""
+    move = """
+        c{s} as materialized (
+            select c.p, c.e, coalesce(u.c, c.c) c
+            from c{r} c left join (
+                select p, e, list(f order by i) c
+                from (select p, m.e e, i, floor(sum(x[i]) / count(*)) f from a{r} join parts using (rid, p), unnest(range(1, len(x) + 1)) t(i) group by all)
+                group by 1, 2) u using (p, e))"""
+    steps = ",".join(near.format(r=r) + "," + move.format(r=r, s=r + 1) for r in range(rounds)) + "," + near.format(r=rounds)
+    return f"""
+        with kept as materialized (
+            select row_number() over () rid, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) v
+            from embeddings where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        parts as materialized (
+            select rid, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] x from kept, unnest(range(4)) t(p)),
+        firsts as (select vec_id, min(v) v from kept where vec_id is not null group by 1 order by 1 limit 256),
+        c0 as materialized (
+            select p, e, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] c
+            from (select row_number() over (order by vec_id) - 1 e, v from firsts), unnest(range(4)) t(p)),{steps},
+        books as (select sha256(string_agg(c[i]::bigint::varchar, ',' order by p, e, i)) h from c{rounds}, unnest(range(1, len(c) + 1)) t(i)),
+        coded as (
+            select rid, string_agg(format('{{:02x}}', m.e), '' order by p) code, sum(m.d)::bigint error from a{rounds} group by 1),
+        rows as (select vec_id, label, code, error from kept join coded using (rid))
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256 from rows, books"""
+
+
 ORACLE = {
+    "op11_vector_codes": _lloyd_sql(),
     "op1_warc": """
         with d as (
             select page_id, octet_length(encode(coalesce(html, ''))) n, sha256(coalesce(html, '')) h from pages),

@@ -38,6 +38,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Delete stage tables that nothing reads any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def likely_in(keys: DataFrame, key: str, bits: int = 1 << 23) -> Column:
     """A filter to put before a shuffle join on `key`: true for every key of the table and for few others.
 

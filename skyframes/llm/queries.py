@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontaminate, jaccard, language, lloyd, mixing, rules, secrets, substrings, urls, warc
+from . import alignment, compression, decontaminate, jaccard, language, lloyd, minhash, mixing, rules, secrets, substrings, urls, warc
+from .tables import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,9 +114,21 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.aligned(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    narrow = stored(rows.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.scored(narrow)
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.linked(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_language_mixture, op3_url_filters, op4_substring_dedup, op5_benchmark_decontamination, op6_secret_scan,
-    op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing, op11_vector_codes,
+    op7_compression_quality, op8_jaccard_join, op9_quality_rules, op10_mixing, op11_vector_codes, op12_token_alignment,
+    op13_minhash_dedup,
 )}
 
 
@@ -150,6 +163,27 @@ def _lloyd_sql(rounds: int = 4) -> str:
         select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256 from rows, books"""
 
 
+#: components of the links of a similarity join on 4-word shingles
+_LINKED = r"""
+        with recursive d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w
+            from documents),
+        s as (
+            select distinct doc_id, w[i : i + least(len(w), 4) - 1] g
+            from d, unnest(range(1, len(w) - least(len(w), 4) + 2)) t(i) where len(w) > 0),
+        n as (select doc_id, count(*) n from s group by 1),
+        common as (
+            select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        links as (
+            select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= {percent} * (x.n + y.n - c)),
+        both_ways as (select a, b from links union all select b, a from links),
+        reach(node, least) as (
+            select doc_id, doc_id from d
+            union
+            select b, least from reach join both_ways on node = a where least < b)
+        select doc_id, coalesce(max(n.n), 0)::bigint n_shingles, min(least) component_id{more}
+        from d left join n using (doc_id) join reach on node = doc_id group by 1"""
+
 ORACLE = {
     "op11_vector_codes": _lloyd_sql(),
     "op1_warc": """
@@ -192,25 +226,8 @@ ORACLE = {
             from words left join gone using (doc_id, j) group by 1)
         select doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_removed, sha256(coalesce(txt, '')) kept_sha256
         from d left join kept using (doc_id)""",
-    "op8_jaccard_join": r"""
-        with recursive d as (
-            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w
-            from documents),
-        s as (
-            select distinct doc_id, w[i : i + least(len(w), 4) - 1] g
-            from d, unnest(range(1, len(w) - least(len(w), 4) + 2)) t(i) where len(w) > 0),
-        n as (select doc_id, count(*) n from s group by 1),
-        common as (
-            select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
-        links as (
-            select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
-        both_ways as (select a, b from links union all select b, a from links),
-        reach(node, least) as (
-            select doc_id, doc_id from d
-            union
-            select b, least from reach join both_ways on node = a where least < b)
-        select doc_id, coalesce(max(n.n), 0)::bigint n_shingles, min(least) component_id
-        from d left join n using (doc_id) join reach on node = doc_id group by 1""",
+    "op8_jaccard_join": _LINKED.format(percent=85, more=""),
+    "op13_minhash_dedup": _LINKED.format(percent=80, more=", doc_id = min(least) kept"),
     "op5_benchmark_decontamination": r"""
         with docs as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w

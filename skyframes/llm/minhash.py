@@ -11,17 +11,19 @@ the connected components of the links.
 3. Prefix: with a document's pairs in order of that number, rarest first, two documents that
    collide at least `matches` times share one before the last `matches` - 1 of either. Only those
    pairs are merged: the frequent ones, from passages that many documents have, fall out.
-4. Skip merging: the first merge of a list compares its members with its head, the least document,
-   only. Collisions are counted over the lists that two documents share; each document is checked
-   against the heads it meets most often. Members that turn out linked are skipped from then on: a
-   second merge brings together only members of different components, smaller ones against all. So
+4. Skip merging: a merge of a list compares its members with its head only. Collisions are counted
+   over the lists that two documents share; each document is checked against the head it meets most
+   often. Members that turn out linked are skipped in the next merge, which has other heads. So
    groups of copies, however large, are never paired out.
-5. Long lists of many components are split first: documents that collide `matches` > 1 times share a
-   second pair, too, so members are dealt by it, rarest first within the list.
+5. What is left are documents that still collide `matches` times with other components. Their lists
+   are merged in full, members of different components, smaller ones against all. As a document
+   meets many others there whose similarity is less, the merge itself compares sizes and a bitmap
+   that has the parity of each n-gram hash: two sets differ in at least as many n-grams as their
+   bitmaps do in bits, so a pair that differs in too many is no link.
 6. Pairs above the match threshold are confirmed on full sets. The text of a document that others
    are compared with goes once to each task that has some of them, not once with each.
 
-A link of similarity s is missed only if its two signatures collide fewer than `matches` times in
+A link of similarity s is missed only if the signatures collide fewer than `matches` times in
 `coordinates`: 1e-8 for the defaults at 0.8, less above. Links inside a component need no check.
 
 Defined results: a null or empty text has no n-gram and links with nothing; a text of fewer words
@@ -33,7 +35,6 @@ table gives no rows. Input columns other than id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,9 @@ from .jaccard import sets
 from .tables import appended, likely_in, slices, stored
 from .words import mixed, pieces
 
-_HUB = 256  # comparisons for which a text is sent again
+_HUB = 64  # comparisons for which a text is sent again
+_WORDS = 16  # of 64 bits, of parities
+_BITS = 64 * _WORDS
 
 
 def _list_array(rows: np.ndarray) -> pa.ListArray:
@@ -65,20 +68,37 @@ def signature(tokens: list[np.ndarray], coordinates: int) -> np.ndarray:
     return out
 
 
-def sketched(docs: DataFrame, k: int, coordinates: int, text: str = "text") -> DataFrame:
-    """docs without text, with n (size of the n-gram set), two hashes of the set, and its signature."""
+def parities(tokens: list[np.ndarray]) -> np.ndarray:
+    """(sets, _WORDS): a bit for each value of a hash of the n-grams, set where an odd number of the set's have it."""
+    size = np.array([len(t) for t in tokens], np.int64)
+    flat = np.concatenate([*tokens, np.zeros(0, np.uint64)])
+    place = np.repeat(np.arange(len(tokens)), size) * _BITS + (mixed(flat, 61) % np.uint64(_BITS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(tokens) * _BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64).reshape(len(tokens), _WORDS)
+
+
+def sketched(docs: DataFrame, k: int, coordinates: int, text: str = "text", whole: bool = False) -> DataFrame:
+    """docs with n (size of the n-gram set), two hashes of the set, and its signature; whole: also its parities and the text."""
 
     def judge(batch: pa.RecordBatch) -> list:
-        n, same, marks = [], [[], []], []
+        n, same, marks, bits = [], [[], []], [], []
         for p in pieces(batch.column(text)):
             tokens = sets(p.split(), k)
             n += [len(x) for x in tokens]
             for out, salt in zip(same, (62, 63)):
                 out += [mixed(x, salt).sum(dtype=np.uint64).view(np.int64) for x in tokens]
             marks.append(signature(tokens, coordinates))
-        return [n, *same, _list_array(np.concatenate(marks) if marks else np.zeros((0, coordinates), np.uint64))]
+            bits.append(parities(tokens) if whole else None)
+        columns = [n, *same, _list_array(np.concatenate([*marks, np.zeros((0, coordinates), np.uint64)]))]
+        return [*columns, _list_array(np.concatenate([*bits, np.zeros((0, _WORDS), np.uint64)])), batch.column(text)] if whole else columns
+
+    return appended(docs, "n bigint, h1 bigint, h2 bigint, marks array<bigint>" + (f", bits array<bigint>, {text} string" if whole else ""), judge, (text,))
 
-    return appended(docs, "n bigint, h1 bigint, h2 bigint, marks array<bigint>", judge, (text,))
+
+def _alike(x: str, y: str, bits: Column, percent: int) -> Column:
+    """Whether sets of sizes x and y whose parities differ in so many bits can link."""
+    # |A ^ B| = |A| + |B| - 2 |A & B|, and a link has 100 |A & B| >= percent |A | B|
+    return _fits(F.col(x), F.col(y), percent) & ((100 + percent) * bits <= (100 - percent) * (F.col(x) + F.col(y)))
 
 
 def _fits(x: Column, y: Column, percent: int) -> Column:
@@ -86,27 +106,42 @@ def _fits(x: Column, y: Column, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def _likely(every: DataFrame, shared: DataFrame, matches: int) -> DataFrame:
+    """Ids of the documents that a Bloom filter of shared pairs gives at least `matches` of: all with so many, and few others.
+
+    A document's rows meet in the task that made them, so one row for each is shuffled.
+    """
+    hit = every.filter(likely_in(shared, "token", 1 << 26))
+    return hit.groupBy("doc_id", "h1").count().filter(F.col("count") >= matches).select("doc_id", "h1")
+
+
 def posted(own: DataFrame, matches: int) -> DataFrame:
-    """(doc_id, h1, n, token, df): the postings that are merged, of documents with enough shared pairs.
+    """(doc_id, h1, n, token): the postings that are merged, of documents with enough shared pairs.
 
-    own: doc_id, h1, n, marks of one document of each class; df: how many documents have the pair.
+    own: doc_id, h1, n, marks of one document of each class.
     """
     every = own.select("doc_id", "h1", "n", F.explode("marks").alias("token"))
     shared = stored(every.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "shared-marks")
-    held = every.filter(likely_in(shared, "token")).join(shared, "token").groupBy("doc_id", "h1", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
-    prefix = F.slice("held", F.lit(1), (F.size("held") - matches + 1))
-    kept = held.filter(F.size("held") >= matches).select("doc_id", "h1", "n", F.inline(prefix))
-    return stored(kept, "postings")
+    some = own.join(stored(_likely(every, shared, matches), "likely"), ["doc_id", "h1"], "left_semi")
+    return stored(_prefixes(some.select("doc_id", "h1", "n", F.explode("marks").alias("token")), shared, ["doc_id", "h1", "n"], matches), "postings")
+
+
+def _prefixes(every: DataFrame, shared: DataFrame, keys: list[str], matches: int) -> DataFrame:
+    """(keys, token): the rarest shared pairs of each document, all but `matches` - 1; documents with fewer than `matches` have none."""
+    held = every.join(shared, "token").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
+    prefix = F.slice("held", F.lit(1), F.size("held") - matches + 1)
+    return held.filter(F.size("held") >= matches).select(*keys, F.inline(prefix)).drop("df")
 
 
 def _colliding(pairs: DataFrame, known: DataFrame, matches: int, percent: int) -> DataFrame:
-    """The pairs (a, ha, b, hb) whose signatures collide at least `matches` times."""
-    side = known.select("doc_id", "h1", "n", "marks")
-    left = side.select(F.col("doc_id").alias("a"), F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("marks").alias("ma"))
-    right = side.select(F.col("doc_id").alias("b"), F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("marks").alias("mb"))
-    both = pairs.join(left, ["a", "ha"]).join(right, ["b", "hb"]).filter(_fits(F.col("na"), F.col("nb"), percent))
+    """The pairs (a, ha, b, hb) whose signatures collide at least `matches` times and whose parities allow a link."""
+    side = known.select("doc_id", "h1", "n", "marks", "bits")
+    left = side.withColumnsRenamed({"doc_id": "a", "h1": "ha", "n": "na", "marks": "ma", "bits": "ba"})
+    right = side.withColumnsRenamed({"doc_id": "b", "h1": "hb", "n": "nb", "marks": "mb", "bits": "bb"})
+    both = pairs.join(left, ["a", "ha"]).join(right, ["b", "hb"])
     alike = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda x: x))
-    return both.filter(alike >= matches).select("a", "ha", "b", "hb")
+    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return both.filter((alike >= matches) & _alike("na", "nb", apart, percent)).select("a", "ha", "b", "hb")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -147,62 +182,53 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return rows.mapInArrow(check, f"a {kind}, b {kind}").distinct()
 
 
-def _heads(posts: DataFrame, heads: int) -> DataFrame:
-    """First merge: each document with the `heads` heads that it meets in most lists."""
-    least = stored(posts.groupBy("token").agg(F.min(F.struct("doc_id", "h1", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1").select("token", "head"), "heads")
-    met = posts.join(least, "token").filter((F.col("head.doc_id") != F.col("doc_id")) | (F.col("head.h1") != F.col("h1")))
+def _in_components(posts: DataFrame, comps: DataFrame) -> DataFrame:
+    """posts with comp, the component of the document so far."""
+    return posts.join(comps, F.col("doc_id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("node", "component")
+
+
+def _mixed(posts: DataFrame, key: str = "token") -> DataFrame:
+    """Lists of more than one component: key, main (the largest one), df (members)."""
+    by = posts.groupBy(key, "comp").agg(F.count("*").alias("m"))
+    out = by.groupBy(key).agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("df"), F.count("*").alias("comps"))
+    return out.filter("comps > 1").select(key, "main", "df")
+
+
+def _heads(posts: DataFrame, salt: int, percent: int) -> DataFrame:
+    """Each document with the head of another component that it meets in most lists; heads are least by a hash."""
+    by = F.xxhash64("doc_id", "h1", F.lit(salt)) if salt else F.lit(0).cast("bigint")
+    head = F.min(F.struct(by.alias("by"), "doc_id", "h1", "n", "comp")).alias("head")
+    mixed_ones = posts.groupBy("token").agg(head, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token", "head")
+    met = posts.join(stored(mixed_ones, "heads"), "token").filter((F.col("head.comp") != F.col("comp")) & _fits(F.col("head.n"), F.col("n"), percent))
     counts = met.groupBy("doc_id", "h1", F.col("head.doc_id").alias("a"), F.col("head.h1").alias("ha")).agg(F.count("*").alias("lists"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("lists", (-F.xxhash64("a")).alias("by"), "a", "ha")), asc=False), 1, heads)
-    return counts.groupBy("doc_id", "h1").agg(best.alias("best")).select(F.col("doc_id").alias("b"), F.col("h1").alias("hb"), F.inline("best")).select("a", "ha", "b", "hb")
-
-
-def _mixed_lists(posts: DataFrame, key: list[str]) -> DataFrame:
-    """Lists of more than one component: key, main (the largest one), members, others (members not of it)."""
-    by = posts.groupBy(*key, "comp").agg(F.count("*").alias("m"))
-    out = by.groupBy(*key).agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("members"), F.max("m").alias("most"), F.count("*").alias("comps"))
-    return out.filter("comps > 1").select(*key, "main", "members", (F.col("members") - F.col("most")).alias("others"))
-
-
-def _rest(posts: DataFrame, comps: DataFrame, percent: int, matches: int, full: DataFrame, long: int) -> DataFrame:
-    """Second merge: pairs of different components that meet in a list, members not of its main component against all."""
-    own = stored(posts.join(comps, F.col("doc_id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("node", "component", "df"), "component-postings")
-    lists = stored(_mixed_lists(own, ["token"]), "mixed-lists")
-    size = F.col("others") * F.col("members")
-    short = own.join(lists.filter(size <= long), "token").withColumn("second", F.lit(0).cast("bigint"))
-    found = _paired(short, percent)
-    wide = lists.filter(size > long)
-    if not wide.isEmpty():
-        # a second shared pair deals the members of a long list anew; all shared pairs of theirs can be it
-        members = own.join(wide.select("token"), "token")
-        seconds = full.select("doc_id", "h1", F.explode("held").alias("second"))
-        dealt = members.join(seconds, ["doc_id", "h1"]).filter("second != token")
-        number = stored(dealt.groupBy("token", "second").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("m > 1"), "second-lists")
-        ordered = dealt.join(number, ["token", "second"]).groupBy("token", "doc_id", "h1", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("m", "second", (F.col("lo") < F.col("hi")).alias("open")))).alias("held"))
-        # of the further matches - 1 collisions, one lies before the last matches - 2 pairs shared in the list
-        kept = ordered.filter(F.size("held") >= matches - 1).select("token", "doc_id", "h1", "n", "comp", F.inline(F.slice("held", F.lit(1), F.size("held") - matches + 2)))
-        kept = stored(kept.filter("open").select("token", "doc_id", "h1", "n", "comp", "second"), "dealt-postings")
-        again = stored(_mixed_lists(kept, ["token", "second"]), "dealt-lists")
-        found = found.unionByName(_paired(kept.join(again, ["token", "second"]), percent))
-    return found.distinct()
-
-
-def _paired(members: DataFrame, percent: int) -> DataFrame:
-    left = members.filter("comp != main").select("token", "second", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "h1", "n", "comp")])
+    best = F.max(F.struct("lists", F.xxhash64("a", "ha").alias("by"), "a", "ha")).alias("best")
+    return counts.groupBy("doc_id", "h1").agg(best).select("best.a", "best.ha", F.col("doc_id").alias("b"), F.col("h1").alias("hb"))
+
+
+def _rest(known: DataFrame, comps: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Pairs of different components that meet in a list of their prefixes; known: doc_id, h1, n, marks, bits."""
+    every = _in_components(known.select("doc_id", "h1", "n", F.explode("marks").alias("token")), comps)
+    shared = stored(_mixed(every).select("token", "df"), "mixed-marks")
+    posts = stored(_prefixes(every, shared, ["doc_id", "h1", "n", "comp"], matches), "open-postings")
+    lists = stored(_mixed(posts).select("token", "main"), "open-lists")
+    words = [f"w{i}" for i in range(_WORDS)]
+    bits = known.select("doc_id", "h1", *[F.col("bits")[i].alias(w) for i, w in enumerate(words)])
+    members = stored(posts.join(lists, "token").join(bits, ["doc_id", "h1"]), "members")
+    left = members.filter("comp != main").drop("main").select("token", *[F.col(c).alias(f"{c}_l") for c in ("doc_id", "h1", "n", "comp", *words)])
     # of two members outside of the main component, one order is enough
     once = (F.col("comp") == F.col("main")) | (F.col("comp_l") < F.col("comp"))
-    met = left.join(members, ["token", "second"]).filter((F.col("comp_l") != F.col("comp")) & once & _fits(F.col("n_l"), F.col("n"), percent))
-    first = F.least(F.struct(F.col("doc_id").alias("d"), F.col("h1").alias("h")), F.struct(F.col("doc_id_l").alias("d"), F.col("h1_l").alias("h")))
-    last = F.greatest(F.struct(F.col("doc_id").alias("d"), F.col("h1").alias("h")), F.struct(F.col("doc_id_l").alias("d"), F.col("h1_l").alias("h")))
-    return met.select(first.alias("x"), last.alias("y")).select(F.col("x.d").alias("a"), F.col("x.h").alias("ha"), F.col("y.d").alias("b"), F.col("y.h").alias("hb")).distinct()
+    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_l"))) for w in words), F.lit(0))
+    on = (left["token"] == members["token"]) & (F.col("comp_l") != F.col("comp")) & once & _alike("n_l", "n", apart, percent)
+    return left.join(members, on).select(F.col("doc_id").alias("a"), F.col("h1").alias("ha"), F.col("doc_id_l").alias("b"), F.col("h1_l").alias("hb")).distinct()
 
 
 def linked(
-    docs: DataFrame, k: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 11, heads: int = 2, long: int = 1 << 16,
+    docs: DataFrame, k: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 11, merges: int = 2,
     text: str = "text", doc_id: str = "doc_id",
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: the least document of its component.
 
-    heads and long decide what is tried first and when lists are split; they change no result.
+    merges: how often lists are merged with their heads before the rest; it changes no result.
     """
     if not 1 < matches <= coordinates <= 60:
         raise ValueError("1 < matches <= coordinates <= 60")
@@ -210,21 +236,24 @@ def linked(
     all_ = stored(sketched(rows, k, coordinates), "signatures")
     real = all_.filter("n > 0 and doc_id is not null")
     least = stored(real.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m"), "classes")
-    copies = stored(real.select("doc_id", "h1", "h2").join(least, ["h1", "h2"]).select("doc_id", "h1", "least").distinct(), "copies")
-    equal = copies.filter("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    own = real.join(copies.filter("doc_id != least").select("doc_id", "h1"), ["doc_id", "h1"], "left_anti").dropDuplicates(["doc_id", "h1"])
-    own = stored(own, "class-heads")
+    copies = stored(real.select("doc_id", "h1", "h2").join(least, ["h1", "h2"]).filter("doc_id != least").select("doc_id", "h1", "least").distinct(), "copies")
+    # one row for each class, also where an id has it several times
+    heads = real.join(least, ["h1", "h2"]).filter("doc_id = least").drop("least").dropDuplicates(["h1", "h2"])
+    own = real.join(least, ["h1", "h2"], "left_anti").unionByName(heads).select("doc_id", "h1", "n", "marks")
     posts = posted(own, matches)
     ids = stored(posts.select("doc_id", "h1").distinct(), "survivors")
     texts = rows.filter("doc_id is not null").filter(likely_in(ids, "doc_id")).join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    # an id may have several texts: those of the class go on
-    texts = sketched(texts.withColumn("_text", F.col("text")), k, 1).select("doc_id", "h1", F.col("_text").alias("text")).join(ids, ["doc_id", "h1"], "left_semi")
-    texts = stored(texts.dropDuplicates(["doc_id", "h1"]), "survivor-texts")
-    known = stored(own.join(ids, ["doc_id", "h1"], "left_semi"), "survivor-signatures")
-    first = stored(confirmed(_colliding(_heads(posts, heads), known, matches, percent), texts, k, percent), "head-links")
-    rest = _rest(posts, components(first), percent, matches, known.withColumnRenamed("marks", "held"), long)
-    across = stored(confirmed(_colliding(rest, known, matches, percent), texts, k, percent), "rest-links")
-    comps = components(reduce(DataFrame.union, [first, across, equal]))
+    # an id may have several texts: that of the class goes on
+    known = stored(sketched(texts, k, coordinates, whole=True).join(ids, ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"]), "survivor-texts")
+    found = copies.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    comps = components(found)
+    for salt in range(merges):
+        now = stored(_in_components(posts, comps), "component-postings")
+        tried = _colliding(_heads(now, salt, percent), known, matches, percent)
+        found = stored(found.union(confirmed(tried, known, k, percent)), "links")
+        comps = components(found)
+    rest = _colliding(_rest(known, comps, percent, matches), known, matches, percent)
+    comps = components(found.union(confirmed(rest, known, k, percent)))
     out = all_.select("doc_id", F.col("n").alias("n_shingles")).join(comps, F.col("doc_id") == F.col("node"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

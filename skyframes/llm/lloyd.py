@@ -17,7 +17,7 @@ Residents are tables in the shared folder, so a lost executor costs one pass. Th
 round replaces is removed.
 
 Defined results: rows whose vector is null or holds a null, a NaN or an infinite component are
-left out, as are vectors of another length than that of the smallest kept id, empty vectors, and
+left out, as are empty vectors, vectors of another length than the smallest id's (least) vector, and
 all rows if that length can't be cut evenly. An id of several rows starts at most one entry, with
 its least vector by components; each of its rows is coded. Rows without id are coded and start no
 entry (but without any id there are no entries, hence no rows). With fewer ids than `entries` the
@@ -99,13 +99,17 @@ def _first_books(rows: DataFrame, parts: int, entries: int, scale: int) -> np.nd
     """(parts, entries, width): the parts of the smallest ids' vectors; None without any."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = rows.filter("v is not null and id is not null and size(v) > 0").filter(~bad)
+    least = good.agg(F.min("id")).first()[0]
+    if least is None:
+        return None
+    length = len(good.filter(F.col("id") == F.lit(least)).agg(F.min("v")).first()[0])
+    if length % parts:
+        return None
+    good = good.filter(F.size("v") == length)
     ids = good.select("id").distinct().orderBy("id").limit(entries)
     scaled = good.join(F.broadcast(ids), "id").select("id", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
     found = sorted(tuple(r) for r in scaled.groupBy("id").agg(F.min("v")).collect())
-    length = len(found[0][1]) if found else 0
-    if not length or length % parts:
-        return None
-    first = np.array([v for _, v in found if len(v) == length], np.int64)
+    first = np.array([v for _, v in found], np.int64)
     return np.stack(np.split(first, parts, axis=1))
 
 

@@ -43,7 +43,7 @@ _view("requests", """select o_orderkey as request_id,
        else concat('2024-01-', lpad(concat('', 1 + o_orderkey % 28), 2, '0')) end as d1,
   case o_orderkey % 7 when 0 then '9.00am' when 1 then '13:00PM' when 2 then '9:75am' when 3 then '12:15 am' else '09:00AM' end as t1,
   concat('2024-01-', lpad(concat('', 1 + o_orderkey % 28), 2, '0')) as d2,
-  case o_orderkey % 17 when 0 then '07:00PMx' else '07:00PM' end as t2 from orders""")
+  case o_orderkey % 17 when 0 then '07:00PMx' when 3 then '09:01AM' else '07:00PM' end as t2 from orders""")
 _view("timed", "select frame_id, device_id, ts // 86400 - 19722 as day, ts % 86400 as tod from captures")
 _view("frames", "select *, (frame_id * 37) % 50 as lum, (frame_id * 53 + 11) % 47 as wal from timed")
 _view("scene", f"""with f as (select *, 2 + (11 * tod) // 86400 as cx from frames),
@@ -314,14 +314,22 @@ _view("sun_pairs", """select p.*, a.cx, a.cy, a.r, b.cx as match_cx, b.cy as mat
 _view("agreed", "select * exclude (overlap) from sun_pairs where overlap")
 _view("centres", """select device_id, day, cx, cy from agreed
   union all select device_id, day, match_cx, match_cy from agreed""")
-_view("points", """select device_id, day, x - avg(x) over d as x, y - avg(y) over d as y, avg(x) over d as mx, avg(y) over d as my
-  from (select device_id, day, cx::double as x, (640 - cy)::double as y from centres) window d as (partition by device_id, day)""")
+_view("found_pairs", """select device_id, day, neighbour_day, frame_id, match_id, a.cx, a.cy, a.r, b.cx as match_cx, b.cy as match_cy, b.r as match_r
+  from pairs p join found_suns a using (device_id, frame_id) join found_suns b on b.frame_id = p.match_id and b.mask_day = p.day
+  where a.mask_day = p.day and (a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2 < (a.r + b.r) ** 2""")
+_view("found_centres", """select device_id, day, cx, cy from found_pairs
+  union all select device_id, day, match_cx, match_cy from found_pairs""")
 
 
-def _fits(name: str, angles: str) -> str:
+def _points(name: str, centres: str, height: int) -> str:
+    return _view(name, f"""select device_id, day, x - avg(x) over d as x, y - avg(y) over d as y, avg(x) over d as mx, avg(y) over d as my
+      from (select device_id, day, cx::double as x, ({height} - cy)::double as y from {centres}) window d as (partition by device_id, day)""")
+
+
+def _fits(name: str, angles: str, points: str = "points") -> str:
     """Fit of every angle from the turned points themselves."""
     return _view(name, f"""with turned as (select device_id, day, k, theta, mx, my, x * cos(theta) - y * sin(theta) as u,
-        x * sin(theta) + y * cos(theta) as v from points join ({angles}) using (device_id, day)),
+        x * sin(theta) + y * cos(theta) as v from {points} join ({angles}) using (device_id, day)),
       sums as (select device_id, day, k, theta, any_value(mx) as mx, any_value(my) as my, count(*) as n, sum(u*u) as s2, sum(u*u*u) as s3,
         sum(u*u*u*u) as s4, sum(u*v) as uv, sum(u*u*v) as uuv, sum(v*v) as vv from turned group by device_id, day, k, theta),
       dets as (select *, (s4 - s2 * s2 / n) * s2 - s3 * s3 as det from sums where n > 3),
@@ -333,8 +341,17 @@ def _fits(name: str, angles: str) -> str:
       from scored qualify row_number() over (partition by device_id, day order by rss, theta) = 1""")
 
 
-_fits("coarse", "select device_id, day, k, k * pi() / 180 as theta from (select distinct device_id, day from points), (select range as k from range(180))")
-_fits("tracks", "select device_id, day, s as k, (k * 100 + s) * pi() / 18000 as theta from coarse, (select range as s from range(-100, 101))")
+def _track(name: str, points: str) -> str:
+    _fits(f"{name}_coarse", f"select device_id, day, k, k * pi() / 180 as theta from (select distinct device_id, day from {points}), (select range as k from range(180))", points)
+    return _fits(name, f"select device_id, day, s as k, (k * 100 + s) * pi() / 18000 as theta from {name}_coarse, (select range as s from range(-100, 101))", points)
+
+
+_points("points", "centres", 640)
+_track("tracks", "points")
+_points("found_points", "found_centres", SIDE)
+_track("found_tracks", "found_points")
+_ROUNDED = """device_id, day, round(theta, 6) as theta, round(a2, 6) as a2, round(a1, 6) as a1,
+  round(a0, 4) as a0, round(rss, 4) as rss, n"""
 
 ORACLE: dict[str, str] = {
     name: _with(sql)
@@ -400,14 +417,12 @@ ORACLE: dict[str, str] = {
             from tile_circles left join tile_disc_area using (image_key, component)""",
         "u04_sun_detect": "select * from found_suns",
         "u05_sun_pairs": "select * from agreed",
-        "e3_agreed_suns": """select device_id, day, neighbour_day, frame_id, match_id, a.cx, a.cy, a.r, b.cx as match_cx, b.cy as match_cy, b.r as match_r
-            from pairs p join found_suns a using (device_id, frame_id) join found_suns b on b.frame_id = p.match_id and b.mask_day = p.day
-            where a.mask_day = p.day and (a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2 < (a.r + b.r) ** 2""",
+        "e3_agreed_suns": "select * from found_pairs",
+        "e3_sun_track": f"select {_ROUNDED} from found_tracks",
         "t01_centroids": "select * from centres",
         "t02_flip_rotate": """select device_id, day, round(cx * cos(0.79::double) - (640 - cy) * sin(0.79::double), 4) as u,
             round(cx * sin(0.79::double) + (640 - cy) * cos(0.79::double), 4) as v from centres""",
-        "t03_parabola_fit": """select device_id, day, round(theta, 6) as theta, round(a2, 6) as a2, round(a1, 6) as a1,
-            round(a0, 4) as a0, round(rss, 4) as rss, n from tracks""",
+        "t03_parabola_fit": f"select {_ROUNDED} from tracks",
         "t04_curve_points": """select * from (select device_id, day, i, round(cos(theta) * u + sin(theta) * v, 4) as x,
             round(cos(theta) * v - sin(theta) * u, 4) as y from (select *, a2 * u * u + a1 * u + a0 as v from
             (select *, i * 0.5::double - 10000 as u from tracks, (select range as i from range(40000)))))

@@ -12,6 +12,7 @@ from skyframes.functions import color
 from skyframes.functions.names import time_of_day
 from skyframes.operators import edges, mask, pairing, regions, requests, stencil, sun, track
 from skyframes.operators.kernels import fill
+from skyframes.operators.stacks import run_rows
 from skyframes.plans import ingest, sky, suntrack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {}
 # the scene is 24 pixels wide, so its suns are smaller than the default limits
 SCENE_SUN = {"least": 1, "most": 5}
 THETA = 0.79
+TRACK_DIGITS = {"theta": 6, "a2": 6, "a1": 6, "a0": 4, "rss": 4}
 
 
 def _query(name: str):
@@ -165,7 +167,7 @@ def w04(spark, sf_dir):
 
 @_query("w05_edge_pixels")
 def w05(spark, sf_dir):
-    return edges.edge_pixels(edges.ridges(views.scene_images(spark, sf_dir), "frame_id"), "frame_id")
+    return run_rows(edges.edge_images(views.scene_images(spark, sf_dir), "frame_id"), "frame_id")
 
 
 @_query("g01_components")
@@ -188,17 +190,17 @@ def a07(spark, sf_dir):
 
 @_query("a01_pixel_hits")
 def a01(spark, sf_dir):
-    return mask.pixel_hits(views.scene_images(spark, sf_dir)).drop("height", "width")
+    return mask.hit_rows(mask.pixel_hits(views.scene_images(spark, sf_dir))).drop("height", "width")
 
 
 @_query("a03_sky_mask_raw")
 def a03(spark, sf_dir):
-    return mask.raw_mask(mask.pixel_hits(views.scene_images(spark, sf_dir))).drop("height", "width")
+    return mask.mask_rows(mask.raw_mask(mask.pixel_hits(views.scene_images(spark, sf_dir)))).drop("height", "width")
 
 
 @_query("g03_regions")
 def g03(spark, sf_dir):
-    return sky.regions(views.scene_images(spark, sf_dir)).drop("height", "width")
+    return mask.region_rows(sky.regions(views.scene_images(spark, sf_dir))).drop("height", "width")
 
 
 @_query("a04_region_rb_sum")
@@ -217,19 +219,20 @@ def a06(spark, sf_dir):
 @_query("g04_region_decide")
 def g04(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
-    return sky.kept_regions(images, sky.regions(images)).select("device_id", "day", "y", "x", "region")
+    return mask.region_rows(sky.kept_regions(images, sky.regions(images))).select("device_id", "day", "y", "x", "region")
 
 
 @_query("g05_final_mask")
 def g05(spark, sf_dir):
-    return sky.sky_mask(views.scene_images(spark, sf_dir)).drop("height", "width")
+    return mask.mask_rows(sky.sky_mask(views.scene_images(spark, sf_dir))).drop("height", "width")
 
 
 @_query("j01_mask_apply")
 def j01(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
-    pixels = stencil.pixel_rows(images, "frame_id", "device_id", "day", "height", "width")
-    return mask.apply_mask(pixels, sky.sky_mask(images)).drop("device_id", "day", "height", "width")
+    found = mask.masked_pixels(images, sky.sky_mask(images))
+    rows = stencil.position_rows(found, "pos", "frame_id", "mask_day", values={"bgr": "bgr"})
+    return rows.select("frame_id", "mask_day", "y", "x", *[channel(F.col("bgr")).alias(c) for c, channel in zip("bgr", (color.blue, color.green, color.red))])
 
 
 @_query("j02_day_pair_match")
@@ -264,8 +267,7 @@ def u05(spark, sf_dir):
 @_query("u01_sun_region")
 def u01(spark, sf_dir):
     images = views.scene_images(spark, sf_dir)
-    found = sun.sun_regions(images, sky.sky_mask(images))
-    return stencil.position_rows(found, "pos", "frame_id", "mask_day")
+    return run_rows(sun.sun_regions(images, sky.sky_mask(images)), "frame_id", "mask_day")
 
 
 def _tile_parts(spark, sf_dir):
@@ -301,6 +303,13 @@ def e3(spark, sf_dir):
     )
 
 
+@_query("e3_sun_track")
+def e3_track(spark, sf_dir):
+    images = views.scene_images(spark, sf_dir)
+    tracks = suntrack.sun_track(images, sky.sky_mask(images), views.SIDE, views.SIDE, **SCENE_SUN)
+    return tracks.withColumns({c: F.round(c, d) for c, d in TRACK_DIGITS.items()})
+
+
 @_query("t01_centroids")
 def t01(spark, sf_dir):
     return track.centroids(u05(spark, sf_dir))
@@ -315,8 +324,7 @@ def t02(spark, sf_dir):
 @_query("t03_parabola_fit")
 def t03(spark, sf_dir):
     fits = track.fit_tracks(t01(spark, sf_dir))
-    digits = {"theta": 6, "a2": 6, "a1": 6, "a0": 4, "rss": 4}
-    return fits.withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return fits.withColumns({c: F.round(c, d) for c, d in TRACK_DIGITS.items()})
 
 
 @_query("t04_curve_points")

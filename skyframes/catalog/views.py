@@ -47,7 +47,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         """case o_orderkey % 7 when 0 then '9.00am' when 1 then '13:00PM' when 2 then '9:75am'
              when 3 then '12:15 am' else '09:00AM' end as t1""",
         "concat('2024-01-', lpad(concat('', 1 + o_orderkey % 28), 2, '0')) as d2",
-        "case o_orderkey % 17 when 0 then '07:00PMx' else '07:00PM' end as t2",
+        "case o_orderkey % 17 when 0 then '07:00PMx' when 3 then '09:01AM' else '07:00PM' end as t2",
     )
 
 

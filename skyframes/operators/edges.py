@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from skyframes.operators import regions, stencil
+from skyframes.operators import kernels, stencil
+from skyframes.operators.stacks import RUNS, arrow_pass, kept, run_lists, stacks
 
 
 def smoothed(images: DataFrame, *keys: str) -> DataFrame:
@@ -18,12 +22,18 @@ def ridges(images: DataFrame, *keys: str) -> DataFrame:
     return images.select(*keys, "height", "width", stencil.ridge_pixels("data", "height", "width").alias("ridge"))
 
 
-def edge_pixels(ridge_images: DataFrame, *keys: str, low: int = 100, high: int = 200) -> DataFrame:
-    """Pixels (keys, y, x) of 8-connected ridges above `low` that somewhere exceed `high`."""
-    zipped = F.arrays_zip(F.col("ridge.pos").alias("pos"), F.col("ridge.mag").alias("mag"))
-    weak = ridge_images.select(*keys, "height", "width", F.filter(zipped, lambda p: p.mag > low).alias("weak"))
-    strong = F.transform(F.col("weak.mag"), lambda m: (m > high).cast("int"))
-    linked = weak.select(
-        *keys, "height", "width", regions.components(F.col("weak.pos"), weight=strong).alias("linked")
-    )
-    return regions.component_rows(linked, "linked", *keys).where("area > 0").drop("label", "area")
+def edge_flags(bgr: np.ndarray, low: int, high: int) -> np.ndarray:
+    """8-connected ridges above `low` that somewhere exceed `high`, for each frame of a stack."""
+    return kernels.linked_edges(kernels.ridges(*kernels.derivatives(kernels.smooth(kernels.grey(bgr)))), low, high)
+
+
+def edge_images(images: DataFrame, *keys: str, low: int = 100, high: int = 200) -> DataFrame:
+    """Edges of each frame as runs: keys, height, width, start, length. Ridges are linked in the pass that finds them."""
+    named = [*keys, "height", "width"]
+
+    def find(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for rows, bgr in stacks(batch):
+            own = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in named), *run_lists(edge_flags(bgr, low, high))], names=[*named, "start", "length"])
+
+    return arrow_pass(images.select(*named, "data"), f"{kept(images, *named)}, {RUNS}", find)

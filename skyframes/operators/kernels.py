@@ -1,11 +1,14 @@
-"""Array kernels for one image, used by the Arrow functions of `stencil` and `regions`.
+"""Array kernels for images, used by the Arrow functions of `stencil`, `regions`, `mask` and `sun`.
 
-Every function takes and returns small NumPy arrays of a single image; Spark decides
-which images a task holds. Each kernel is linear in the pixels of that image.
+Every function takes and returns NumPy arrays of a single image, or of a stack of images of one
+size (stack, H, W), so that small pictures share the cost of a call; Spark decides which images a
+task holds. Each kernel is linear in the pixels of its images.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 
 # fixed values: 2 * sigma^2 of the bilateral filter (sigma 50), its disc radius,
@@ -18,7 +21,7 @@ _CLOSENESS = np.exp(-np.arange(256.0) ** 2 / SPREAD)
 
 
 def grey(bgr: np.ndarray) -> np.ndarray:
-    """Rounded luma of an (H, W, 3) image."""
+    """Rounded luma of (..., H, W, 3) images."""
     b, g, r = (bgr[..., k].astype(np.int32) for k in range(3))
     return (299 * r + 587 * g + 114 * b + 500) // 1000
 
@@ -26,11 +29,11 @@ def grey(bgr: np.ndarray) -> np.ndarray:
 def smooth(image: np.ndarray) -> np.ndarray:
     """Bilateral filter (Tomasi & Manduchi 1998); taps outside the image are left out."""
     reach = range(-DISC_RADIUS, DISC_RADIUS + 1)
-    high, wide = image.shape
+    high, wide = image.shape[-2:]
     weighted, total = np.zeros(image.shape), np.zeros(image.shape)
     for dy, dx in ((dy, dx) for dy in reach for dx in reach if dy * dy + dx * dx <= DISC_RADIUS**2):
-        here = slice(max(0, -dy), high - max(0, dy)), slice(max(0, -dx), wide - max(0, dx))
-        there = slice(max(0, dy), high + min(0, dy)), slice(max(0, dx), wide + min(0, dx))
+        here = ..., slice(max(0, -dy), high - max(0, dy)), slice(max(0, -dx), wide - max(0, dx))
+        there = ..., slice(max(0, dy), high + min(0, dy)), slice(max(0, dx), wide + min(0, dx))
         tap = image[there]
         weight = _CLOSENESS[np.abs(tap - image[here])] * np.exp(-(dy * dy + dx * dx) / SPREAD)
         weighted[here] += weight * tap
@@ -40,20 +43,24 @@ def smooth(image: np.ndarray) -> np.ndarray:
 
 def derivatives(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sobel gx, gy; the border pixel repeats outwards."""
-    ring = np.pad(image, 1, mode="edge")
-    rows = ring[:-2] + 2 * ring[1:-1] + ring[2:]
-    cols = ring[:, :-2] + 2 * ring[:, 1:-1] + ring[:, 2:]
-    return rows[:, 2:] - rows[:, :-2], cols[2:] - cols[:-2]
+    ring = np.pad(image, _ring(image), mode="edge")
+    rows = ring[..., :-2, :] + 2 * ring[..., 1:-1, :] + ring[..., 2:, :]
+    cols = ring[..., :-2] + 2 * ring[..., 1:-1] + ring[..., 2:]
+    return rows[..., 2:] - rows[..., :-2], cols[..., 2:, :] - cols[..., :-2, :]
+
+
+def _ring(image: np.ndarray) -> list[tuple[int, int]]:
+    return [(0, 0)] * (image.ndim - 2) + [(1, 1)] * 2
 
 
 def ridges(gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
     """Gradient magnitude where it peaks across the gradient direction, else 0 (Canny 1986)."""
     ax, ay = np.abs(gx), np.abs(gy)
     mag = ax + ay
-    ring = np.pad(mag, 1)
+    ring = np.pad(mag, _ring(mag))
 
     def beside(dy: int, dx: int) -> np.ndarray:
-        return ring[1 + dy : 1 + dy + mag.shape[0], 1 + dx : 1 + dx + mag.shape[1]]
+        return ring[..., 1 + dy : 1 + dy + mag.shape[-2], 1 + dx : 1 + dx + mag.shape[-1]]
 
     sectors = [ay * 100000 < ax * SECTOR_LOW, ay * 100000 > ax * SECTOR_HIGH, gx * gy >= 0]
     before = np.select(sectors, [beside(0, -1), beside(-1, 0), beside(-1, -1)], beside(-1, 1))
@@ -63,7 +70,7 @@ def ridges(gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
 
 def sweep(image: np.ndarray, size: int, pick) -> np.ndarray:
     """Separable size x size minimum or maximum, clipped at the border."""
-    for axis in (0, 1):
+    for axis in (-2, -1):
         image = np.moveaxis(image, axis, 0)
         best = image.copy()
         for d in range(1, min(size // 2, len(image) - 1) + 1):
@@ -129,3 +136,142 @@ def largest(image: np.ndarray) -> np.ndarray:
         best = np.bincount(label, length).argmax()
         kept[spread_runs(start, length)[0][np.repeat(label == best, length)]] = True
     return kept.reshape(image.shape)
+
+
+def flat_ring(stack: np.ndarray) -> np.ndarray:
+    """The images of a stack below each other as one image, each in a ring of background: no component spans two."""
+    ring = np.ascontiguousarray(np.pad(stack, _ring(stack)))
+    return ring.reshape(-1, ring.shape[-1])
+
+
+def _unringed(flat: np.ndarray, shape: tuple[int, int, int]) -> np.ndarray:
+    return flat.reshape(shape[0], shape[1] + 2, shape[2] + 2)[:, 1:-1, 1:-1]
+
+
+def fill_each(stack: np.ndarray) -> np.ndarray:
+    """`fill` for each image of a stack."""
+    if not stack.size:
+        return stack
+    flat = flat_ring(stack)
+    start, length, label = components(~flat, 0)
+    inside = label != label[0]  # the rings are one component, and it comes first
+    flat.ravel()[spread_runs(start[inside], length[inside])[0]] = True
+    return _unringed(flat, stack.shape)
+
+
+def parts_of(stack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """8-connected components of each image: for each run its image, start (y * W + x) and length, and its
+    component (index of the component's first run); the pixels of the component that each run names, else 0."""
+    wide = stack.shape[2] + 2
+    start, length, label = components(flat_ring(stack), 1)
+    y, x = np.divmod(start, wide)
+    image, y = np.divmod(y, stack.shape[1] + 2)
+    area = np.bincount(label, length, minlength=len(start)).astype(np.int64)
+    return image, (y - 1) * stack.shape[2] + x - 1, length, label, area
+
+
+def ranks(image: np.ndarray, label: np.ndarray, area: np.ndarray) -> np.ndarray:
+    """For each run the rank of its component in its image, from 0: largest first, of equals the one that starts first."""
+    roots = np.flatnonzero(label == np.arange(len(label)))
+    order = roots[np.lexsort((roots, -area[roots], image[roots]))]
+    first = np.searchsorted(image[order], image[order])
+    rank = np.zeros(len(label), np.int64)
+    rank[order] = np.arange(len(order)) - first
+    return rank[label]
+
+
+def drawn(shape: tuple[int, int, int], image: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A stack with the given runs as foreground."""
+    out = np.zeros(shape, bool)
+    out.ravel()[spread_runs(image * (shape[1] * shape[2]) + start, length)[0]] = True
+    return out
+
+
+def largest_each(stack: np.ndarray) -> np.ndarray:
+    """`largest` for each image of a stack."""
+    image, start, length, label, area = parts_of(stack)
+    best = ranks(image, label, area) == 0
+    return drawn(stack.shape, image[best], start[best], length[best])
+
+
+def flat_runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Image, start and length of the runs of True in each flattened image of a stack; a run may go on into the next row."""
+    flat = np.zeros((len(flags), flags[0].size + 2 if len(flags) else 2), np.int8)
+    flat[:, 1:-1] = flags.reshape(len(flags), -1)
+    step = np.diff(flat, axis=1)
+    image, start = np.nonzero(step > 0)
+    return image, start, np.nonzero(step < 0)[1] - start
+
+
+def linked_edges(magnitude: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Hysteresis for each image of a stack: 8-connected ridges above `low` that somewhere exceed `high`."""
+    if not (magnitude > high).any():
+        return np.zeros(magnitude.shape, bool)
+    image, start, length, label, _ = parts_of(magnitude > low)
+    pos, run = spread_runs(image * magnitude[0].size + start, length)
+    strong = np.zeros(len(label), bool)
+    strong[label[run[magnitude.ravel()[pos] > high]]] = True
+    out = np.zeros(magnitude.size, bool)
+    out[pos[strong[label][run]]] = True
+    return out.reshape(magnitude.shape)
+
+
+def sunny(bgr: np.ndarray, limit: int) -> np.ndarray:
+    """Pixels of (..., H, W, 3) images whose hue in half degrees is at most `limit`; see `functions.color.is_sun_hue`."""
+    b, g, r = (bgr[..., k].astype(np.int32) for k in range(3))
+    top = np.maximum(np.maximum(b, g), r)
+    span, lead = top - np.minimum(np.minimum(b, g), r), (g - b) * 60
+    return (span == 0) | ((top == r) & (lead >= -span) & (lead < span * (2 * limit + 1)))
+
+
+def row_ends(start: np.ndarray, length: np.ndarray, wide: int) -> np.ndarray:
+    """(2, n): x and y of the first and last pixels of the runs of an image. They hold every corner of the convex hull."""
+    y, x = np.divmod(start, wide)
+    return np.stack([np.concatenate([x, x + length - 1]), np.concatenate([y, y])]).astype(float)
+
+
+def _circumcircle(p: np.ndarray) -> tuple[float, float, float] | None:
+    """x, y and squared radius of the smallest circle with all of one, two or three points (rows) on its rim."""
+    x, y = p[0]
+    if len(p) == 1:
+        return x, y, 0.0
+    ax, ay = p[1] - p[0]
+    if len(p) == 2:
+        return x + ax / 2, y + ay / 2, (ax * ax + ay * ay) / 4
+    bx, by = p[2] - p[0]
+    area, a2, b2 = 2 * (ax * by - ay * bx), ax * ax + ay * ay, bx * bx + by * by
+    if area == 0:
+        return None
+    ux, uy = (by * a2 - ay * b2) / area, (ax * b2 - bx * a2) / area
+    return x + ux, y + uy, ux * ux + uy * uy
+
+
+def enclosing_circle(points: np.ndarray) -> tuple[float, float, float]:
+    """x, y and radius of the smallest circle around (2, n) points.
+
+    The circle of a few rim points grows by the farthest point outside of it, and the smallest
+    circle of those few is found by trying; its radius grows each time, so that ends.
+    """
+    rim = points[:, :1].T
+    x, y, r2 = _circumcircle(rim)
+    while True:
+        d = (points[0] - x) ** 2 + (points[1] - y) ** 2
+        far = int(d.argmax())
+        if d[far] <= r2 * (1 + 1e-12) + 1e-9:
+            return x, y, float(np.sqrt(r2))
+        some = np.vstack([rim, points[:, far]])
+        best = None
+        for k in (2, 3):
+            for chosen in combinations(range(len(some) - 1), k - 1):
+                rows = some[[*chosen, -1]]
+                if (c := _circumcircle(rows)) is None or best is not None and c[2] >= best[0][2]:
+                    continue
+                if ((some[:, 0] - c[0]) ** 2 + (some[:, 1] - c[1]) ** 2 <= c[2] * (1 + 1e-12) + 1e-9).all():
+                    best = c, rows
+        (x, y, r2), rim = best
+
+
+def disc(cx: int, cy: int, r: int, high: int, wide: int, top: int = 0, left: int = 0) -> np.ndarray:
+    """Pixels within r of a centre, in the part of an image that starts at (top, left)."""
+    y, x = np.ogrid[top : top + high, left : left + wide]
+    return (x - cx) ** 2 + (y - cy) ** 2 <= r * r

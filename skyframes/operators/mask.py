@@ -1,81 +1,233 @@
-"""Sky mask of each device and day: pixel hits, regions, region brightness, final mask."""
+"""Sky mask of each device and day: pixel hits, regions, region brightness, final mask.
+
+Pictures stay pictures and binary images stay runs (see `stacks`): counting, labelling and summing
+are Arrow passes that give one row per frame, image or band of rows. Pixel rows are a query's own.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframes.functions import color
-from skyframes.operators import edges, regions, stencil
-from skyframes.operators.kernels import fill
+from skyframes.operators import kernels
+from skyframes.operators.edges import edge_flags
+from skyframes.operators.stacks import RUNS, arrow_pass, kept, lists, run_rows, stacks
 
 IMAGE = ("device_id", "day", "height", "width")
+_BAND = 1 << 14  # pixels of a band of rows
+_HELD = 1 << 22  # pixels of the counters that a task holds open
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sky_flags(bgr: np.ndarray) -> np.ndarray:
+    """The colour rule on (..., H, W, 3) images."""
+    return color.is_sky_color(*(bgr[..., k].astype(np.int16) for k in range(3)))
+
+
+class _Counter:
+    """Dense hits of one device, day and picture size."""
+
+    def __init__(self, high: int, wide: int):
+        self.color, self.edge, self.n = np.zeros((high, wide), np.int32), np.zeros((high, wide), np.int32), 0
+
+    def add(self, sky: np.ndarray, edge: np.ndarray) -> None:
+        self.color += sky.sum(0, dtype=np.int32)
+        self.edge += edge.sum(0, dtype=np.int32)
+        self.n += len(sky)
+
+
+_HITS = ("y0", "n_frames", "color_hits", "edge_hits")
+_HITS_SCHEMA = "y0 int, n_frames bigint, color_hits array<int>, edge_hits array<int>"
 
 
-def color_flags(images: DataFrame) -> DataFrame:
-    """Dense pixel rows with color 1 where the colour rule says sky."""
-    sky = color.is_sky_color(F.col("b"), F.col("g"), F.col("r"))
-    return stencil.pixel_rows(images, *IMAGE).select(*IMAGE, "y", "x", sky.cast("int").alias("color"))
+def _bands(key: tuple, c: _Counter, kinds: pa.Schema) -> pa.RecordBatch:
+    step = max(1, _BAND // max(1, c.color.shape[1]))
+    tops = list(range(0, len(c.color), step))
+    columns = [pa.array([v] * len(tops), kinds.field(name).type) for name, v in zip(IMAGE, key)]
+    hits = [pa.array([x[y : y + step].ravel() for y in tops], pa.list_(pa.int32())) for x in (c.color, c.edge)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(tops, pa.int32()), pa.array([c.n] * len(tops), pa.int64()), *hits], names=[*IMAGE, *_HITS])
 
 
-def pixel_hits(images: DataFrame) -> DataFrame:
-    """Per device, day and pixel: frames with sky colour, frames with an edge, frames.
+def _band(place: tuple, sums: list, kinds: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([*place, *sums], kinds)], schema=kinds)
 
-    Colour flags are dense and edges sparse; stacked, they meet in one aggregate whose
-    map-side part shrinks all frames of a task to one image per device and day.
+
+def pixel_hits(images: DataFrame, low: int = 100, high: int = 200) -> DataFrame:
+    """Hits of each device, day and picture size, in bands of rows: (IMAGE, y0, n_frames, color_hits, edge_hits).
+
+    The arrays count, for the pixels of a band row by row, the frames with sky colour and those
+    with an edge. One pass over the frames gives both flags; a task counts into dense arrays, a pair
+    for each device, day and size it meets, and gives a pair away when it has too many open. The
+    parts of a band are added up one by one, so neither a camera with most of the frames nor a long
+    day gathers anywhere.
     """
-    colors = color_flags(images).select(*IMAGE, "y", "x", "color", F.lit(0).alias("edge"), F.lit(1).alias("n"))
-    found = edges.edge_pixels(edges.ridges(images, "frame_id", "device_id", "day"), "frame_id", "device_id", "day", "height", "width")
-    marks = found.select(*IMAGE, "y", "x", F.lit(0).alias("color"), F.lit(1).alias("edge"), F.lit(0).alias("n"))
-    return (
-        colors.unionByName(marks)
-        .groupBy(*IMAGE, "y", "x")
-        .agg(F.sum("color").alias("color_hits"), F.sum("edge").alias("edge_hits"), F.sum("n").alias("n_frames"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, _Counter] = {}
+        kinds, pixels = None, 0
+        for batch in batches:
+            kinds = batch.schema
+            keys = list(zip(*(batch.column(c).to_pylist() for c in IMAGE)))
+            for rows, bgr in stacks(batch):
+                sky, edge = sky_flags(bgr), edge_flags(bgr, low, high)
+                by: dict[tuple, list[int]] = {}
+                for i, row in enumerate(rows):
+                    by.setdefault(keys[row], []).append(i)
+                for key, some in by.items():
+                    c = held.pop(key, None)
+                    if c is None:
+                        c, pixels = _Counter(*bgr.shape[1:3]), pixels + sky[0].size
+                    c.add(sky[some], edge[some])
+                    held[key] = c  # the one used last comes last
+                    while pixels > _HELD and len(held) > 1:
+                        first = next(iter(held))
+                        pixels -= held[first].color.size
+                        yield _bands(first, held.pop(first), kinds)
+        for key, c in held.items():
+            yield _bands(key, c, kinds)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sums, kinds = None, [], None
+        for batch in batches:
+            kinds, n, sky, edge = batch.schema, *(batch.column(c) for c in _HITS[1:])
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in (*IMAGE, "y0")))):
+                parts = [n[i].as_py(), *(np.asarray(c[i].values) for c in (sky, edge))]
+                if key == last:
+                    sums = [a + b for a, b in zip(sums, parts)]
+                    continue
+                if last is not None:
+                    yield _band(last, sums, kinds)
+                last, sums = key, parts
+        if last is not None:
+            yield _band(last, sums, kinds)
+
+    schema = f"{kept(images, *IMAGE)}, {_HITS_SCHEMA}"
+    parts = images.select(*IMAGE, "data").mapInArrow(count, schema)
+    place = [*IMAGE, "y0"]
+    return parts.repartition(_partitions(images), *place).sortWithinPartitions(*place).mapInArrow(merge, schema)
+
+
+def hit_rows(hits: DataFrame) -> DataFrame:
+    """Pixel rows (IMAGE, y, x, color_hits, edge_hits, n_frames) of bands."""
+    each = hits.select(*IMAGE, "y0", "n_frames", F.posexplode(F.arrays_zip("color_hits", "edge_hits")).alias("pos", "hit"))
+    count = lambda c: F.col(f"hit.{c}").cast("bigint").alias(c)
+    return each.select(
+        *IMAGE, (F.col("y0") + F.expr("pos div width").cast("int")).alias("y"), (F.col("pos") % F.col("width")).alias("x"), count("color_hits"), count("edge_hits"), "n_frames"
     )
 
 
 def raw_mask(hits: DataFrame, beta1: float = 0.75, beta2: float = 0.5) -> DataFrame:
-    """Pixels that show sky in at least beta1 of the frames and an edge in less than beta2."""
-    often = (F.col("color_hits") >= F.col("n_frames") * beta1) & (F.col("edge_hits") < F.col("n_frames") * beta2)
-    return hits.where(often).select(*IMAGE, "y", "x")
+    """Image rows (IMAGE, start, length): pixels that show sky in at least beta1 of the frames and an edge in less than beta2.
+
+    Bands give runs; an image is put together from its bands and is never larger than one picture.
+    """
+
+    def often(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = [[], []]
+        for i, (y0, wide, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("y0", "width", "n_frames")))):
+            sky, edge = (np.asarray(batch.column(c)[i].values) for c in ("color_hits", "edge_hits"))
+            _, start, length = kernels.flat_runs(((sky >= n * beta1) & (edge < n * beta2))[None])
+            found[0].append(start + y0 * wide)
+            found[1].append(length)
+        runs = [pa.array(x, pa.list_(pa.int32())) for x in found]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*IMAGE, "y0")), *runs], names=[*IMAGE, "y0", "start", "length"])
+
+    bands = arrow_pass(hits, f"{kept(hits, *IMAGE)}, y0 int, {RUNS}", often).where(F.size("start") > 0)
+    whole = bands.groupBy(*IMAGE).agg(F.array_sort(F.collect_list(F.struct("y0", "start", "length"))).alias("bands"))
+    return whole.select(*IMAGE, F.flatten("bands.start").alias("start"), F.flatten("bands.length").alias("length"))
+
+
+def _drawn(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    """The binary image of a row of runs, as a stack of one."""
+    start, length = (np.asarray(batch.column(c)[i].values).astype(np.int64) for c in ("start", "length"))
+    shape = 1, batch.column("height")[i].as_py(), batch.column("width")[i].as_py()
+    return kernels.drawn(shape, np.zeros(len(start), np.int64), start, length)
+
+
+REGIONS = f"n_regions int, {RUNS}, region array<int>, area array<bigint>"
+
+
+def _ranked(batch: pa.RecordBatch, shaped, top, least) -> list[pa.Array]:
+    """Columns of REGIONS: the `top` largest components of each image's reshaped foreground, of at least `least` pixels."""
+    out = []
+    for i in range(len(batch)):
+        image, start, length, label, area = kernels.parts_of(shaped(_drawn(batch, i)))
+        rank = kernels.ranks(image, label, area)
+        size = batch.column("height")[i].as_py() * batch.column("width")[i].as_py()
+        good = (rank < top(i)) & (area[label] >= least(size))
+        out.append((len(np.unique(rank[good])), start[good], length[good], rank[good] + 1, area[label][good]))
+    kinds = pa.int32(), *(pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.int64()))
+    return [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]
 
 
 def sky_regions(raw: DataFrame, size: int = 5, top: int = 3, part: int = 20) -> DataFrame:
-    """Pixel rows of up to `top` regions of at least 1/`part` of the image, after erosion.
+    """Image rows (IMAGE, n_regions, start, length, region, area): up to `top` regions of at least 1/`part` of the image, after erosion.
 
-    `region` is the rank by area; `n_regions` counts the regions of the image.
+    `region` (the rank by area) and `area` are given for each run; `n_regions` counts the regions of the image.
     """
-    parts = regions.components(F.col("pos"), stencil.erode(size), fill)
-    labelled = stencil.pack(raw, "device_id", "day").withColumn("parts", parts)
-    return regions.ranked_regions(labelled, "parts", F.lit(top), F.expr(f"height * width / {part}"), *IMAGE)
 
+    def label(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        made = _ranked(batch, lambda x: kernels.fill_each(kernels.sweep(x, size, np.minimum)), lambda i: top, lambda pixels: pixels / part)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in IMAGE), *made], names=[*IMAGE, "n_regions", "start", "length", "region", "area"])
 
-def region_images(region_rows: DataFrame) -> DataFrame:
-    """Regions of one device, day and picture size as one row of aligned arrays; at most one image in size."""
-    spot = F.struct((F.col("y") * F.col("width") + F.col("x")).cast("int").alias("pos"), "region")
-    return region_rows.groupBy(*IMAGE).agg(F.collect_list(spot).alias("spots"))
+    return arrow_pass(raw.select(*IMAGE, "start", "length"), f"{kept(raw, *IMAGE)}, {REGIONS}", label).where("n_regions > 0")
+
+
+def region_rows(regions: DataFrame) -> DataFrame:
+    """Pixel rows (IMAGE, y, x, area, region, n_regions) of regions."""
+    return run_rows(regions, *IMAGE, "n_regions", values={"area": "area", "region": "region"}).select(*IMAGE, "y", "x", "area", "region", "n_regions")
+
+
+def beside_pictures(images: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """Pictures with the row of their device, day and size, without moving pictures that are stored.
+
+    `rows` is small beside the pictures. Stored frames (`sources.frames`) lie in buckets by device,
+    day, size and slice of the day; the other side is copied to the slices that a day has, which
+    metadata tell, and goes to the buckets. Other pictures meet it as Catalyst decides.
+    """
+    pictures = images.select(*columns, *IMAGE, *[c for c in ("slice",) if c in images.columns], "data")
+    if "slice" not in images.columns:
+        return pictures.join(rows, list(IMAGE))
+    copies = images.select(*IMAGE, "slice").distinct().join(rows, list(IMAGE))
+    return pictures.join(copies.hint("shuffle_hash"), [*IMAGE, "slice"])
 
 
-def region_sums(images: DataFrame, region_rows: DataFrame, slices: int = 8) -> DataFrame:
+def region_sums(images: DataFrame, regions: DataFrame) -> DataFrame:
     """Sum of |r - b| per frame and region of its own day and picture size.
 
-    A frame meets the regions as one row and only then becomes pixels, so the join moves
-    3 bytes per pixel instead of a table row; the sums combine before their shuffle. A day of
-    frames is gigabytes and a busy day more, so frames are spread over `slices` copies of the
-    one regions row of their day.
+    A frame meets the regions of its day as runs. Running sums over its pixels make a region cost
+    its runs, not its pixels, and one row per frame and region leaves the pass.
     """
-    frame = ("frame_id", *IMAGE)
-    spread = images.select(*frame, "data", F.pmod(F.xxhash64("frame_id"), F.lit(slices)).cast("int").alias("slice"))
-    copies = region_images(region_rows).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    met = spread.join(copies, [*IMAGE, "slice"])
-    bgr = F.get(F.col("pixels"), F.col("pos"))
-    return (
-        met.select(*frame, "spots", stencil.packed_pixels("data").alias("pixels"))
-        .select(*frame, "pixels", F.inline("spots"))
-        .select(*frame, "region", F.abs(color.red(bgr) - color.blue(bgr)).alias("rb"))
-        .groupBy(*frame, "region")
-        .agg(F.sum("rb").alias("rb_sum"))
-    )
+
+    def add(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        runs = [batch.column(c) for c in ("start", "length", "region")]
+        for rows, bgr in stacks(batch):
+            difference = np.abs(bgr[..., 2].astype(np.int64) - bgr[..., 0]).reshape(len(rows), -1)
+            running = np.zeros((len(rows), difference.shape[1] + 1), np.int64)
+            np.cumsum(difference, axis=1, out=running[:, 1:])
+            found = [[], [], []]
+            for at, total in zip(rows, running):
+                start, length, region = (np.asarray(c[int(at)].values).astype(np.int64) for c in runs)
+                sums = np.zeros(int(region.max(initial=0)) + 1, np.int64)
+                np.add.at(sums, region, total[start + length] - total[start])
+                names = np.unique(region)
+                found[0].append(np.full(len(names), at))
+                found[1].append(names)
+                found[2].append(sums[names])
+            at, region, sums = (np.concatenate(x) for x in found)
+            own = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("frame_id", *IMAGE)), pa.array(region, pa.int32()), pa.array(sums, pa.int64())], names=["frame_id", *IMAGE, "region", "rb_sum"])
+
+    met = beside_pictures(images, regions.select(*IMAGE, "start", "length", "region"), "frame_id")
+    return arrow_pass(met.drop("slice"), f"{kept(images, 'frame_id', *IMAGE)}, region int, rb_sum bigint", add)
 
 
 def region_correlation(sums: DataFrame, least: float = 0.3) -> DataFrame:
@@ -99,33 +251,68 @@ def region_correlation(sums: DataFrame, least: float = 0.3) -> DataFrame:
     )
 
 
-def decided_regions(region_rows: DataFrame, correlation: DataFrame) -> DataFrame:
-    """Region 1 and the regions whose brightness follows it."""
-    kept = correlation.where("keep").select(*IMAGE, "region")
-    others = region_rows.where("region > 1").join(kept, [*IMAGE, "region"], "left_semi")
-    return region_rows.where("region = 1").unionByName(others)
+def decided_regions(regions: DataFrame, correlation: DataFrame) -> DataFrame:
+    """Regions rows with region 1 and the regions whose brightness follows it; n_regions stays the number before."""
+    kept_ones = correlation.where("keep").groupBy(*IMAGE).agg(F.collect_set("region").alias("__kept"))
+    runs = F.filter(F.arrays_zip("start", "length", "region", "area"), lambda r: (r.region == 1) | F.coalesce(F.array_contains("__kept", r.region), F.lit(False)))
+    chosen = regions.join(kept_ones, list(IMAGE), "left").withColumn("__runs", runs)
+    return chosen.select(*IMAGE, "n_regions", *[F.col(f"__runs.{c}").alias(c) for c in ("start", "length", "region", "area")])
+
+
+def final_mask(decided: DataFrame, size: int = 5) -> DataFrame:
+    """Image rows (IMAGE, start, length): kept regions dilated, filled and cut to the largest
+    `n_regions` outlines, the number of regions before the decision."""
 
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        most = batch.column("n_regions").to_pylist()
+        _, start, length, *_ = _ranked(batch, lambda x: kernels.fill_each(kernels.sweep(x, size, np.maximum)), lambda i: most[i], lambda pixels: 0)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in IMAGE), start, length], names=[*IMAGE, "start", "length"])
 
-def final_mask(kept: DataFrame, size: int = 5) -> DataFrame:
-    """Mask pixels (device_id, day, height, width, y, x): kept regions dilated, filled and cut to the
-    largest `n_regions` outlines, the number of regions before the decision."""
-    parts = regions.components(F.col("pos"), stencil.dilate(size), fill)
-    labelled = stencil.pack(kept, "device_id", "day", "n_regions").withColumn("parts", parts)
-    return regions.ranked_regions(labelled, "parts", F.col("n_regions"), None, *IMAGE).select(*IMAGE, "y", "x")
+    return arrow_pass(decided.select(*IMAGE, "n_regions", "start", "length"), f"{kept(decided, *IMAGE)}, {RUNS}", cut)
 
 
-def mask_days(mask: DataFrame) -> DataFrame:
-    """Mask rows with the days they serve: the day before, their own and the day after."""
+def mask_rows(mask: DataFrame) -> DataFrame:
+    """Pixel rows (IMAGE, y, x) of masks."""
+    return run_rows(mask, *IMAGE)
+
+
+def masks_by_day(mask: DataFrame) -> DataFrame:
+    """(IMAGE, masks): for each day the masks that serve it, its own and those of the days beside it, as (mask_day, start, length)."""
     served = F.explode(F.sequence(F.col("day") - 1, F.col("day") + 1))
-    return mask.withColumn("mask_day", F.col("day")).withColumn("day", served)
+    each = mask.select("device_id", served.alias("day"), "height", "width", F.struct(F.col("day").alias("mask_day"), "start", "length").alias("m"))
+    return each.groupBy(*IMAGE).agg(F.array_sort(F.collect_list("m")).alias("masks"))
 
 
-def apply_mask(pixels: DataFrame, mask: DataFrame) -> DataFrame:
-    """Pixel rows under each mask that serves their day, with its `mask_day`.
+def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each frame of a stack and mask that serves its day: the frame's place in the stack, the mask's day, the mask's image."""
+    drawn: dict[bytes, np.ndarray] = {}
+    place, days, images = [], [], []
+    column = batch.column("masks")
+    for i, row in enumerate(rows):
+        for m in column[int(row)].values or ():
+            start, length = (np.asarray(m[c].values).astype(np.int64) for c in ("start", "length"))
+            key = start.tobytes() + length.tobytes()
+            if key not in drawn:
+                drawn[key] = kernels.drawn((1, *shape[1:]), np.zeros(len(start), np.int64), start, length)[0]
+            place.append(i)
+            days.append(m["mask_day"].as_py())
+            images.append(drawn[key])
+    return np.array(place, np.int64), np.array(days, np.int64), np.stack(images) if images else np.zeros((0, *shape[1:]), bool)
 
-    The key is a single pixel of a device, day and picture size, so no key is large. Pixels
-    that name their `mask_day` meet that mask only.
-    """
-    if "mask_day" in pixels.columns:
-        return pixels.join(mask.select(*IMAGE, "y", "x").withColumnRenamed("day", "mask_day"), ["device_id", "mask_day", *IMAGE[2:], "y", "x"])
-    return pixels.join(mask_days(mask).select(*IMAGE, "mask_day", "y", "x"), [*IMAGE, "y", "x"])
+
+def masked_pixels(images: DataFrame, mask: DataFrame) -> DataFrame:
+    """A row per frame and mask that serves its day: (frame_id, mask_day, width, pos, bgr), the pixels under the mask in order."""
+
+    def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = batch.column("frame_id")
+        for rows, bgr in stacks(batch, 1 << 18):
+            place, days, under = sights(batch, bgr.shape[:3], rows)
+            packed = bgr.astype(np.int32)
+            packed = (packed[..., 0] << 16 | packed[..., 1] << 8 | packed[..., 2]).reshape(len(bgr), -1)
+            sight, pos = np.nonzero(under.reshape(len(under), bgr.shape[1] * bgr.shape[2]))
+            made = [lists(sight, x, len(place), pa.int32()) for x in (pos, packed[place[sight], pos])]
+            wide = pa.array(np.full(len(place), bgr.shape[2]), pa.int32())
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[place])), pa.array(days), wide, *made], names=["frame_id", "mask_day", "width", "pos", "bgr"])
+
+    met = beside_pictures(images, masks_by_day(mask), "frame_id").drop("slice")
+    return arrow_pass(met, f"{kept(images, 'frame_id')}, mask_day bigint, width int, pos array<int>, bgr array<int>", look)

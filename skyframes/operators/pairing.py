@@ -7,7 +7,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyframes.session import stage_table
+
 MOMENT = ["device_id", "day", "tod"]
+_CUTS = 256
 _STRETCHES = "device_id string, day bigint, neighbour_day bigint, tod bigint, first bigint, match_tod bigint, match_first bigint, n bigint"
 
 
@@ -60,20 +63,33 @@ def _matcher(tolerance: int):
     return match_day
 
 
+def blocks(frames: DataFrame, block: int) -> DataFrame:
+    """(MOMENT, frame_id, block): the frames of a second in blocks of ascending ids.
+
+    The ids of a crowded second are cut at their quantiles, about one for each `block` of its
+    frames, so it is sorted in parts however its ids are spread. Quantiles come from a sketch of
+    bounded size, `_CUTS` of them; blocks of even more frames grow with the second.
+    """
+    frames = frames.select(*MOMENT, "frame_id")
+    crowded = stage_table(frames.groupBy(*MOMENT).agg(F.count(F.lit(1)).alias("all")).where(F.col("all") > block), "crowded")
+    if crowded.isEmpty():
+        return frames.withColumn("block", F.lit(0))
+    shares = F.array(*[F.lit(i / _CUTS) for i in range(1, _CUTS)])
+    cuts = frames.join(crowded, MOMENT).groupBy(*MOMENT).agg(F.max("all").alias("all"), F.percentile_approx("frame_id", shares, F.lit(20 * _CUTS)).alias("cuts"))
+    # as many of the cuts as the second needs
+    step = F.greatest(F.lit(1), F.floor(F.lit(_CUTS) * block / F.col("all"))).cast("int")
+    cuts = stage_table(cuts.select(*MOMENT, F.array_distinct(F.filter("cuts", lambda c, i: (i + 1) % step == 0)).alias("cuts")), "cuts")
+    number = F.when(F.col("cuts").isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c < F.col("frame_id"))))
+    return frames.join(cuts, MOMENT, "left").select(*MOMENT, "frame_id", number.alias("block"))
+
+
 def numbered(frames: DataFrame, block: int = 4096) -> DataFrame:
     """Adds `rank`, the place of a frame by id among the frames of its device and second, from 0.
 
-    Ranks are counted within blocks of ids and moved by the sizes of the blocks before. The
-    ids of a second, dense or hashed, are cut into equal ranges, one for each `block` of its
-    frames, so a crowded second is sorted in parts if its ids are spread evenly.
+    Ranks are counted within blocks of ids and moved by the sizes of the blocks before.
     """
     part = [*MOMENT, "block"]
-    ranges = frames.groupBy(*MOMENT).agg(F.min("frame_id").cast("double").alias("low"), F.max("frame_id").cast("double").alias("high"), F.count(F.lit(1)).alias("all"))
-    width = (F.col("high") - F.col("low") + 1) / F.ceil(F.col("all") / block)
-    keyed = (
-        frames.select(*MOMENT, "frame_id").join(ranges, MOMENT)
-        .select(*MOMENT, "frame_id", F.floor((F.col("frame_id").cast("double") - F.col("low")) / width).alias("block"))
-    )
+    keyed = blocks(frames, block)
     sizes = keyed.groupBy(*part).agg(F.count(F.lit(1)).alias("size"))
     earlier = Window.partitionBy(*MOMENT).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sizes.select(*part, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("ahead"))

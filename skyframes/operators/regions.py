@@ -23,29 +23,27 @@ _PARTS = T.StructType(
 )
 
 
-def components(pos: Column, *steps, connectivity: int = 8, weight: Column | None = None) -> Column:
+def components(pos: Column, *steps, connectivity: int = 8) -> Column:
     """Struct of aligned arrays (pos, label, total) of the foreground after the given steps.
 
-    label: smallest position of the component. total: its pixel count, or, without steps,
-    its sum of `weight`, an array aligned with `pos`.
+    label: smallest position of the component. total: its pixel count.
     """
     reach = {8: 1, 4: 0}[connectivity]
 
     @image_udf(_PARTS)
-    def label(pos: pd.Series, height: pd.Series, width: pd.Series, weight: pd.Series) -> pd.DataFrame:
+    def label(pos: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
         found = []
-        for at, high, wide, w in zip(pos, height, width, weight):
+        for at, high, wide in zip(pos, height, width):
             image, top, left = run_steps(at, high, wide, steps)
             start, length, part = connected_runs(image, reach)
             part = part[np.repeat(np.arange(len(start)), length)]
             total = np.zeros(len(start), np.int64)
-            np.add.at(total, part, w if len(w) else 1)
+            np.add.at(total, part, 1)
             place = (image.shape[1], top, left, wide)
             found.append((frame_positions(np.flatnonzero(image), *place), frame_positions(start, *place)[part], total[part]))
         return pd.DataFrame(found, columns=["pos", "label", "total"])
 
-    no_weight = F.array().cast("array<int>")
-    return label(pos, "height", "width", no_weight if weight is None else weight)
+    return label(pos, "height", "width")
 
 
 def component_rows(images: DataFrame, parts: str, *keys: str) -> DataFrame:

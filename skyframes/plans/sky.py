@@ -13,16 +13,16 @@ from skyframes.session import stage_table
 
 
 def regions(images: DataFrame) -> DataFrame:
-    """Candidate sky regions (device_id, day, height, width, y, x, area, region, n_regions)."""
+    """Candidate sky regions, an image row each (device_id, day, height, width, n_regions, start, length, region, area)."""
     return stage_table(mask.sky_regions(mask.raw_mask(mask.pixel_hits(images))), "regions")
 
 
-def kept_regions(images: DataFrame, region_rows: DataFrame, least: float = 0.3) -> DataFrame:
+def kept_regions(images: DataFrame, found: DataFrame, least: float = 0.3) -> DataFrame:
     """Regions left after comparing their brightness with region 1."""
-    several = region_rows.where("n_regions > 1")
-    return mask.decided_regions(region_rows, mask.region_correlation(mask.region_sums(images, several), least))
+    several = found.where("n_regions > 1")
+    return mask.decided_regions(found, mask.region_correlation(mask.region_sums(images, several), least))
 
 
 def sky_mask(images: DataFrame) -> DataFrame:
-    """Final mask pixels (device_id, day, height, width, y, x)."""
+    """Final masks, an image row each (device_id, day, height, width, start, length)."""
     return stage_table(mask.final_mask(kept_regions(images, regions(images))), "sky_mask")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +26,17 @@ def local_session(cores: int | str = 8, memory: str = "8g", stages: str | None =
         .getOrCreate()
     )
     if stages and not _configured(spark):
-        spark.conf.set("spark.checkpoint.dir", stages)
+        spark.sparkContext.setCheckpointDir(stages)
     return spark
 
 
 def _configured(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder of spark.checkpoint.dir; where that is unset, the one that the session was given later."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or spark.sparkContext.getCheckpointDir()
+
+
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
 
 
 def stage_dir(spark: SparkSession) -> str:
@@ -36,7 +44,21 @@ def stage_dir(spark: SparkSession) -> str:
     shared = _configured(spark)
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{shared.rstrip('/')}/skyframes-{spark.sparkContext.applicationId}"
+    return f"{shared.rstrip('/')}/skyframes-{spark.sparkContext.applicationId}{_SCOPE.get()}"
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Removes the stage tables that the block writes when it ends, also by an error; blocks may be nested.
+
+    Results that read them must be written or counted within the block.
+    """
+    token = _SCOPE.set(f"{_SCOPE.get()}/{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        drop_stage_tables(spark)
+        _SCOPE.reset(token)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -52,6 +74,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_stage_tables(spark: SparkSession) -> None:
-    """Remove the stage tables of this run; results that read them can't be read after that."""
+    """Remove the stage tables of this run, or of the innermost `stages` block; results that read them can't be read after that."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,7 +14,7 @@ from skyframes.functions.names import time_of_day
 FRAME_NAME = r"([^/_]+)_(\d{2})-(\d{2})-(\d{4})_\d{2}-\d{2}-\d{2}\.[^./]+$"
 
 
-def _named(name: Column) -> list[Column]:
+def named(name: Column) -> list[Column]:
     """device_id, day (days since 1970) and tod read from a file name; null where it does not say."""
     part = [F.nullif(F.regexp_extract(name, FRAME_NAME, k), F.lit("")) for k in (1, 4, 2, 3)]
     date = F.concat_ws("-", *part[1:]).try_cast("date")
@@ -54,7 +54,7 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
         .select(
-            _frame_id(origin).alias("frame_id"), *_named(origin), origin.alias("path"),
+            _frame_id(origin).alias("frame_id"), *named(origin), origin.alias("path"),
             F.col("image.height").alias("height"), F.col("image.width").alias("width"), three_channels(image).alias("data"),
         )
     )
@@ -69,7 +69,7 @@ def rejected_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(_plain(F.col("path")).alias("path"))
     images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
     good = images.select(_plain(F.col("image.origin")).alias("path"))
-    judged = files.select("path", *_named(F.regexp_extract("path", r"([^/]+)$", 1)))
+    judged = files.select("path", *named(F.regexp_extract("path", r"([^/]+)$", 1)))
     unnamed = judged.where("device_id is null or day is null or tod is null").select("path", F.lit("name").alias("reason"))
     broken = judged.where("device_id is not null and day is not null and tod is not null").join(good, "path", "left_anti")
     return unnamed.unionByName(broken.select("path", F.lit("broken").alias("reason")))
@@ -93,7 +93,7 @@ def compact_frames(spark: SparkSession, source: str, target: str) -> None:
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    rows = files.select(name.alias("name"), *_named(name), "content").where("device_id is not null and day is not null")
+    rows = files.select(name.alias("name"), *named(name), "content").where("device_id is not null and day is not null")
     gathered = rows.hint("rebalance", F.col("device_id"), F.col("day"))
     gathered.write.partitionBy("device_id", "day").parquet(target)
 
@@ -101,6 +101,8 @@ def compact_frames(spark: SparkSession, source: str, target: str) -> None:
 def write_result(table: DataFrame, path: str) -> None:
     """Store a result table (sky_mask, sun_pairs, sun_track) partitioned by day.
 
-    Rebalancing keeps the number of files small without gathering a busy day in one task.
+    The days of the table are replaced and others stay, so a daily run extends the result and can be
+    run again. Rebalancing keeps the number of files small without gathering a busy day in one task.
     """
-    table.hint("rebalance", F.col("day")).write.mode("errorifexists").partitionBy("day").parquet(path)
+    days = table.hint("rebalance", F.col("day")).write.option("partitionOverwriteMode", "dynamic")
+    days.mode("overwrite").partitionBy("day").parquet(path)

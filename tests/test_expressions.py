@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyframes.functions import circle, color, names
-from skyframes.operators import sun, track
+from skyframes.functions import color, names
+from skyframes.operators import kernels, sun, track
 
 
 def test_color_rule_at_its_limits(spark):
@@ -69,12 +69,12 @@ def test_enclosing_circle_is_the_smallest(spark):
         assert (row.cx, row.cy, row.r) == (x, y, r), row.k
 
 
-def test_disc_is_clipped_and_ascending(spark):
-    df = spark.createDataFrame([(0, 1, 3, 10, 8), (4, 5, 2, 10, 8), (30, 30, 2, 10, 8)], "cx int, cy int, r int, h int, w int")
-    got = df.select("*", circle.disc_positions(*[F.col(c) for c in ("cx", "cy", "r", "h", "w")]).alias("p")).collect()
-    for d in got:
-        want = [y * 8 + x for y in range(10) for x in range(8) if (x - d.cx) ** 2 + (y - d.cy) ** 2 <= d.r**2]
-        assert d.p == want
+def test_disc_is_clipped(spark):
+    for cx, cy, r in ((0, 1, 3), (4, 5, 2), (30, 30, 2)):
+        want = [(y, x) for y in range(10) for x in range(8) if (x - cx) ** 2 + (y - cy) ** 2 <= r**2]
+        assert list(zip(*np.nonzero(kernels.disc(cx, cy, r, 10, 8)))) == want
+        assert list(zip(*np.nonzero(kernels.disc(cx, cy, r, 6, 5, 4, 3)))) == [(y - 4, x - 3) for y, x in want if y >= 4 and x >= 3]
+        assert sun.disc_area(cx, cy, r, np.ones((10, 8), bool)) == len(want)
 
 
 def test_planted_parabola_is_found(spark):

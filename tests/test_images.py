@@ -72,5 +72,7 @@ def test_results_are_stored_by_day(spark, tmp_path):
     table = spark.createDataFrame([("d", 1, 0, 0), ("d", 2, 0, 1)], "device_id string, day long, y int, x int")
     src.write_result(table, path)
     assert spark.read.parquet(path).where("day = 2").select("x").first().x == 1
-    with pytest.raises(Exception):
-        src.write_result(table, path)
+    again = spark.createDataFrame([("d", 3, 5, 5), ("d", 1, 0, 7)], "device_id string, day long, y int, x int")
+    for _ in range(2):  # day 1 anew and day 3, twice
+        src.write_result(again, path)
+    assert sorted((r.day, r.x) for r in spark.read.parquet(path).collect()) == [(1, 7), (2, 1), (3, 5)]

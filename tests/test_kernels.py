@@ -111,3 +111,36 @@ def test_flat_image_has_no_ridge_and_a_step_has_one():
     step[:, 4:] = 100
     ridge = kernels.ridges(*kernels.derivatives(step))
     assert (ridge[:, 3] == 400).all() and (np.count_nonzero(ridge, axis=1) == 1).all()
+
+
+@given(st.lists(binary(6), min_size=1, max_size=4), st.booleans())
+@settings(max_examples=150, deadline=None)
+def test_stacks_are_their_images(images, turned):
+    """A stack gives what its images give one by one, whatever its order in memory."""
+    shape = tuple(max(i.shape[k] for i in images) for k in (0, 1))
+    stack = np.stack([np.pad(i, ((0, shape[0] - i.shape[0]), (0, shape[1] - i.shape[1]))) for i in images])
+    if turned:
+        stack = np.asfortranarray(stack)
+    assert (kernels.fill_each(stack) == np.stack([fill(i) for i in stack])).all()
+    assert (kernels.largest_each(stack) == np.stack([largest(i) for i in stack])).all()
+    image, start, length, label, area = kernels.parts_of(stack)
+    assert (kernels.drawn(stack.shape, image, start, length) == stack).all()
+    rank = kernels.ranks(image, label, area)
+    for k, one in enumerate(stack):
+        first, size, part = kernels.components(one, 1)
+        total = np.bincount(part, size, minlength=len(first)).astype(int)
+        order = sorted(set(part), key=lambda p: (-total[p], p))
+        assert [order.index(p) for p in part] == rank[image == k].tolist()
+    run_image, run_start, run_length = kernels.flat_runs(stack)
+    assert (kernels.drawn(stack.shape, run_image, run_start, run_length) == stack).all()
+
+
+def test_hysteresis_links_within_an_image():
+    rng = np.random.default_rng(2)
+    magnitude = rng.choice([0, 50, 120, 250], (5, 9, 8), p=[0.4, 0.2, 0.35, 0.05])
+    got = kernels.linked_edges(magnitude, 100, 200)
+    for k in range(5):
+        label = flood(magnitude[k] > 100, EIGHT)
+        strong = set(label[magnitude[k] > 200])
+        assert (got[k] == np.isin(label, list(strong - {-1}))).all()
+    assert not kernels.linked_edges(np.full((2, 3, 3), 150), 100, 200).any()

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from skyframes.operators import pairing
 
 
@@ -41,6 +43,22 @@ def test_ranks_do_not_depend_on_blocks(spark):
         assert [small[(tod, k)] for k in range(len(ids))] == ids
 
 
+def test_crowded_seconds_are_cut_where_the_ids_are(spark):
+    """90 % of the ids lie in 1 % of their range; no block has many more frames than it should."""
+    rng = random.Random(6)
+    ids = rng.sample(range(10**6, 10**6 + 10**5), 1800) + rng.sample(range(10**7), 200)
+    rows = [(i, "a", 1, 5) for i in sorted(set(ids))] + [(-i, "a", 1, 6) for i in range(30)] + [(7, "b", 1, 5)]
+    frames = spark.createDataFrame(rows, "frame_id long, device_id string, day long, tod long").repartition(4)
+    numbered = pairing.numbered(frames, block=100)
+    got = {(r.device_id, r.tod, r["rank"]): r.frame_id for r in numbered.collect()}
+    for device, tod in (("a", 5), ("a", 6), ("b", 5)):
+        own = sorted(i for i, d, _, t in rows if (d, t) == (device, tod))
+        assert [got.pop((device, tod, k)) for k in range(len(own))] == own
+    assert not got
+    sizes = pairing.blocks(frames, 100)
+    assert max(r["size"] for r in sizes.groupBy(*pairing.MOMENT, "block").agg(F.count("*").alias("size")).collect()) <= 200
+
+
 def test_touching_circles_do_not_overlap(spark):
     df = spark.createDataFrame([(0, 0, 3, 5, 0, 2), (0, 0, 3, 4, 0, 2)], "cx int, cy int, r int, match_cx int, match_cy int, match_r int")
     assert pairing.overlapping(df).count() == 1

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from skyframes import session
 from skyframes.catalog import views
-from skyframes.operators import mask, sun
+from skyframes.operators import mask, stencil, sun
+from skyframes.operators.stacks import as_runs
 from skyframes.plans import ingest, sky, suntrack
 
 
@@ -45,8 +46,7 @@ def test_two_picture_sizes_on_one_day_stay_apart(spark):
         sums = mask.region_sums(images, found)
         final = sky.sky_mask(images)
         sizes = images.select("device_id", "day", "height", "width").distinct()
-        rows_of = sizes.select("*", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y"))
-        whole = rows_of.select("*", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"))
+        whole = sizes.select("*", F.array(F.lit(0)).alias("start"), F.array(F.col("height") * F.col("width")).alias("length"))
         suns = sun.detect(images, whole, least=1, most=5)
         return [sorted(map(tuple, df.select(*sorted(df.columns)).collect())) for df in (found, sums, mask.region_correlation(sums), final, suns)]
 
@@ -71,6 +71,30 @@ def test_stage_tables_can_be_removed(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.iterdir())
 
 
+def test_a_block_removes_its_stage_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_configured", lambda _: f"file://{tmp_path}")
+    before = session.stage_table(spark.range(2), "before")
+    with pytest.raises(KeyError):
+        with session.stages(spark):
+            session.stage_table(spark.range(3), "outer")
+            with session.stages(spark):
+                assert session.stage_table(spark.range(3), "inner").count() == 3
+            assert len([f for f in tmp_path.rglob("*") if f.name.startswith(("outer-", "inner-"))]) == 1
+            raise KeyError
+    assert [f.name[:6] for f in tmp_path.rglob("*-*") if f.is_dir() and not f.name.startswith("skyframes")] == ["before"]
+    assert before.count() == 2
+    session.drop_stage_tables(spark)
+
+
+def test_a_session_without_a_folder_can_be_given_one(spark, monkeypatch):
+    """Not by the property, which a running session does not take."""
+    given = []
+    monkeypatch.setattr(session, "_configured", lambda _: None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, folder: given.append(folder))
+    session.local_session(8, "6g", "file:///somewhere")
+    assert given == ["file:///somewhere"]
+
+
 def test_regions_zero_to_three(spark):
     def block(device, top, left, high, wide):
         return [(device, 1, 60, 60, y, x) for y in range(top, top + high) for x in range(left, left + wide)]
@@ -79,13 +103,14 @@ def test_regions_zero_to_three(spark):
     raw += block("three", 0, 0, 30, 30) + block("three", 35, 0, 20, 20) + block("three", 35, 30, 20, 22) + block("three", 0, 40, 18, 18)
     raw += block("none", 0, 0, 10, 10)
     df = spark.createDataFrame(raw, "device_id string, day long, height int, width int, y int, x int")
-    got = mask.sky_regions(df).groupBy("device_id").agg(F.countDistinct("region").alias("n"), F.max("n_regions").alias("m"))
+    images = as_runs(stencil.pack(df, "device_id", "day"))
+    got = mask.region_rows(mask.sky_regions(images)).groupBy("device_id").agg(F.countDistinct("region").alias("n"), F.max("n_regions").alias("m"))
     assert {r.device_id: (r.n, r.m) for r in got.collect()} == {"one": (1, 1), "three": (3, 3)}
 
 
 def test_constant_brightness_is_not_kept(spark):
-    sums = [("d", 1, f, k, v) for f in range(5) for k, v in ((1, 100 + f), (2, 50 + 2 * f), (3, 7))]
-    corr = mask.region_correlation(spark.createDataFrame(sums, "device_id string, day long, frame_id long, region int, rb_sum long"))
+    sums = [("d", 1, 4, 4, f, k, v) for f in range(5) for k, v in ((1, 100 + f), (2, 50 + 2 * f), (3, 7))]
+    corr = mask.region_correlation(spark.createDataFrame(sums, "device_id string, day long, height int, width int, frame_id long, region int, rb_sum long"))
     assert {r.region: (r["corr"] and round(r["corr"], 9), r.keep) for r in corr.collect()} == {2: (1.0, True), 3: (None, False)}
 
 

@@ -13,8 +13,8 @@ the connected components of the links.
    pairs are merged: the frequent ones, from passages that many documents have, fall out.
 4. Skip merging: a merge of a list compares its members with its head only. Collisions are counted
    over the lists that two documents share; each document is checked against the head it meets most
-   often. Members that turn out linked are skipped in the next merge, which has other heads. So
-   groups of copies, however large, are never paired out.
+   often. Members that turn out linked are skipped in the next merge. So groups of copies, however
+   large, are never paired out.
 5. What is left are documents that still collide `matches` times with other components. Their lists
    are merged in full, members of different components, smaller ones against all. As a document
    meets many others there whose similarity is less, the merge itself compares sizes and a bitmap
@@ -182,8 +182,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return rows.mapInArrow(check, f"a {kind}, b {kind}").distinct()
 
 
-def _in_components(posts: DataFrame, comps: DataFrame) -> DataFrame:
-    """posts with comp, the component of the document so far."""
+def _in_components(posts: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """posts with comp, the component of the document so far: itself, before any link is known."""
+    if comps is None:
+        return posts.withColumn("comp", F.col("doc_id"))
     return posts.join(comps, F.col("doc_id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("node", "component")
 
 
@@ -223,7 +225,7 @@ def _rest(known: DataFrame, comps: DataFrame, percent: int, matches: int) -> Dat
 
 
 def linked(
-    docs: DataFrame, k: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 11, merges: int = 2,
+    docs: DataFrame, k: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 11, merges: int = 1,
     text: str = "text", doc_id: str = "doc_id",
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: the least document of its component.
@@ -245,15 +247,15 @@ def linked(
     texts = rows.filter("doc_id is not null").filter(likely_in(ids, "doc_id")).join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
     # an id may have several texts: that of the class goes on
     known = stored(sketched(texts, k, coordinates, whole=True).join(ids, ["doc_id", "h1"], "left_semi").dropDuplicates(["doc_id", "h1"]), "survivor-texts")
-    found = copies.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    comps = components(found)
+    found, comps = None, None
     for salt in range(merges):
-        now = stored(_in_components(posts, comps), "component-postings")
-        tried = _colliding(_heads(now, salt, percent), known, matches, percent)
-        found = stored(found.union(confirmed(tried, known, k, percent)), "links")
+        tried = _colliding(_heads(_in_components(posts, comps), salt, percent), known, matches, percent)
+        links = confirmed(tried, known, k, percent)
+        found = stored(links if found is None else found.union(links), "links")
         comps = components(found)
-    rest = _colliding(_rest(known, comps, percent, matches), known, matches, percent)
-    comps = components(found.union(confirmed(rest, known, k, percent)))
+    rest = stored(confirmed(_colliding(_rest(known, comps, percent, matches), known, matches, percent), known, k, percent), "rest-links")
+    equal = copies.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    comps = components(equal.union(rest) if found is None else equal.union(rest).union(found))
     out = all_.select("doc_id", F.col("n").alias("n_shingles")).join(comps, F.col("doc_id") == F.col("node"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -7,14 +7,19 @@ kept once: the row of the smallest id holds the payload, the others are revisits
 Reading: every file is cut into blocks that tasks read on their own. Magic text in a block is only
 a candidate for a record's start, as payloads may hold it too. Each task emits its candidates with
 the offset where the candidate's successor must start; runs inside a block are followed at once, so
-each candidate points to its first successor outside of the block. Pointer jumping from offset 0 of
-every file then doubles the reach in each round, so as many rounds as the logarithm of the blocks
-per file suffice, and only records that are reached exist. The last pass reads those.
+each candidate points to its first successor outside of the block, or to where its chain breaks.
+Pointer jumping from offset 0 of every file then doubles the reach in each round, so as many rounds
+as the logarithm of the blocks per file suffice, and only records that are reached exist. The last
+pass reads each block that is reached once, in order.
+
+A header may have any length: a task reads on beyond its block until the header's blank line. The
+number of tasks follows from the bytes, not from the few bytes of the block table.
 
 Defined results: a null payload is an empty one; a null id is a response of its own; equal rows are
-all written; line breaks and blanks in a URL are written as %20; a null URL is left out. A file
-whose chain breaks yields the records before the break, and `broken` names it. An empty table
-gives no record.
+all written; line breaks and blanks in a URL are written as %20; a null URL is left out. A chain
+breaks where no record starts or where a record claims more bytes than the file has; `broken` lists
+such files with the offset. `read` raises if there are any, or, if not `strict`, gives all records
+before the breaks. An empty file or table gives no record.
 """
 
 from __future__ import annotations
@@ -37,7 +42,8 @@ _STOP = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
-MOST_HEADER = 1 << 16
+_AHEAD = 1 << 16  # bytes read at once beyond a block
+_TASK = 1 << 27  # bytes of archives for a task, where there are more than the session has partitions for
 RECORD = (
     "file string, offset bigint, record_type string, record_id string, target_uri string, payload_digest string, "
     "refers_to string, payload_length bigint, payload binary"
@@ -49,8 +55,9 @@ def revisits(pages: DataFrame, payload: str, page_id: str, least: int = 100) ->
     known = pages.filter(F.octet_length(payload) >= least).filter(F.col(page_id).isNotNull()).select(
         F.col(page_id).alias("_id"), F.sha2(F.col(payload).cast("binary"), 256).alias("_digest")
     )
-    firsts = known.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_first < _last")
-    return known.join(firsts.drop("_last"), "_digest").filter("_id > _first").groupBy("_id", "_digest").agg(F.first("_first").alias("_first"))
+    # a table of its own, so that the join with it can split the digest of many copies
+    firsts = stored(known.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_first < _last").drop("_last"), "firsts")
+    return known.join(firsts, "_digest").filter("_id > _first").groupBy("_id", "_digest").agg(F.first("_first").alias("_first"))
 
 
 def _line(name: str, value: Column) -> Column:
@@ -99,37 +106,78 @@ def _open(uri: str) -> pa.NativeFile:
     return store.open_input_file(f"{folder}/{uri[len(top) + 1 :]}")
 
 
-def _header(raw: bytes) -> tuple[int, dict[str, str]] | None:
-    """Length of a record's header with its closing line, and its fields; None if it isn't one."""
-    end = raw.find(_STOP, 0, MOST_HEADER)
-    if not raw.startswith(MAGIC) or end < 0:
+class Window:
+    """Bytes of an open file from `base` on, read in order and widened as needed."""
+
+    def __init__(self, f: pa.NativeFile, base: int, length: int):
+        self.f, self.base, self.length, self.raw = f, base, length, b""
+        f.seek(base)
+
+    def hold(self, stop: int) -> bool:
+        """Read on until the bytes before `stop` are held; False if the file ends before."""
+        missing = min(stop, self.length) - self.base - len(self.raw)
+        if missing > 0:
+            left = self.length - self.base - len(self.raw)
+            self.raw += self.f.read(min(left, max(missing, _AHEAD)))
+        return stop <= self.length
+
+    def forget(self, before: int) -> None:
+        if before - self.base > 1 << 22:
+            self.raw, self.base = self.raw[before - self.base :], before
+
+    def find(self, what: bytes, at: int, stop: int | None = None) -> int:
+        """Offset of the first `what` at or after `at` (and before `stop`), reading on if need be; -1 without."""
+        while True:
+            found = self.raw.find(what, at - self.base, None if stop is None else stop - self.base + len(what) - 1)
+            if found >= 0:
+                return self.base + found
+            held = self.base + len(self.raw)
+            if held >= (self.length if stop is None else min(self.length, stop + len(what) - 1)):
+                return -1
+            at = max(at, held - len(what) + 1)
+            self.hold(held + max(_AHEAD, len(self.raw)))
+
+
+def _header(w: Window, at: int) -> tuple[int, dict[str, str]] | None:
+    """The offset after a record's header with its blank line, and its fields; None if no header starts at `at`."""
+    w.hold(at + len(MAGIC))
+    start = at - w.base
+    if not w.raw.startswith(MAGIC, start) or (end := w.find(_STOP, at + len(MAGIC) - 2)) < 0:
+        return None
+    raw = w.raw[start : end - w.base]
+    if b"\r\n" + MAGIC in raw:  # no line of a header is the magic one
         return None
     fields = {}
-    for line in raw[len(MAGIC) : end].decode("utf-8", "replace").split("\r\n"):
+    for line in raw[len(MAGIC) :].decode("utf-8", "replace").split("\r\n"):
         name, colon, value = line.partition(":")
         if colon:
             fields[name.strip().lower()] = value.strip()
     return (end + len(_STOP), fields) if fields.get("content-length", "").isdecimal() else None
 
 
-def successors(raw: bytes, start: int, stop: int, base: int) -> dict[int, int]:
-    """Where the record at each candidate offset in [start, stop) ends; raw: bytes from `base` on."""
-    out, at = {}, raw.find(MAGIC, start - base)
-    while 0 <= at < stop - base:
-        if head := _header(raw[at : at + MOST_HEADER + len(_STOP)]):
-            out[base + at] = base + at + head[0] + int(head[1]["content-length"]) + len(_STOP)
-        at = raw.find(MAGIC, at + 1)
+def _record(w: Window, at: int) -> tuple[int, int, dict[str, str]] | None:
+    """Where the record at `at` has its body and its successor, and its fields; None if no whole record starts there."""
+    if (head := _header(w, at)) is None:
+        return None
+    to = head[0] + int(head[1]["content-length"]) + len(_STOP)
+    return (head[0], to, head[1]) if to <= w.length else None
+
+
+def successors(w: Window, start: int, stop: int) -> dict[int, int]:
+    """Where the record at each candidate offset in [start, stop) ends."""
+    out, at = {}, w.find(MAGIC, start, stop)
+    while at >= 0:
+        if found := _record(w, at):
+            out[at] = found[1]
+        at = w.find(MAGIC, at + 1, stop)
     return out
 
 
-def exits(ends: dict[int, int], stop: int, length: int) -> dict[int, int]:
-    """The first successor at or after `stop` of each candidate; candidates whose chain breaks are left out."""
+def exits(ends: dict[int, int], stop: int) -> dict[int, int]:
+    """The first successor of each candidate at or after `stop`, or the offset in the block at which its chain breaks."""
     out: dict[int, int] = {}
     for at in sorted(ends, reverse=True):
-        to = ends[at]
-        to = out.get(to) if to < stop else to
-        if to is not None and to <= length:
-            out[at] = to
+        out[at] = out.get(ends[at], ends[at]) if ends[at] < stop else ends[at]
     return out
 
 
@@ -140,23 +188,28 @@ def blocks(spark: SparkSession, folder: str, size: int) -> DataFrame:
     return cut.withColumn("stop", F.least(F.col("start") + size, F.col("length")))
 
 
+def _tasks(spark: SparkSession, blocks: int, length: int) -> int:
+    return max(1, min(blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), length // _TASK)))
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for file, length, start, stop in zip(*(c.to_pylist() for c in b.columns)):
             with closing(_open(file)) as f:
-                f.seek(start)
-                raw = f.read(min(length, stop + MOST_HEADER + len(_STOP) + len(MAGIC)) - start)
-            found = exits(successors(raw, start, stop, start), stop, length)
+                w = Window(f, start, length)
+                w.hold(stop)
+                found = exits(successors(w, start, stop), stop)
             yield pa.RecordBatch.from_arrays([pa.array([file] * len(found), pa.string()), pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["file", "at", "to"])
 
 
-def reached(spark: SparkSession, folder: str, size: int = 1 << 23) -> tuple[DataFrame, DataFrame]:
-    """Blocks, and the (file, at) where a chain from the file's start enters a block, or ends the file."""
+def reached(spark: SparkSession, folder: str, size: int = 1 << 23) -> tuple[DataFrame, DataFrame, int]:
+    """Blocks, the (file, at) where a chain from the file's start enters a block, breaks or ends the file, and a number of tasks."""
     cut = stored(blocks(spark, folder, size), "blocks")
-    most = cut.groupBy("file").count().agg(F.max("count")).first()[0] or 0
-    spread = cut.repartition(F.col("file"), F.col("start"))
+    known = cut.groupBy("file").agg(F.count("*").alias("n"), F.max("length").alias("length")).agg(F.max("n"), F.sum("n"), F.sum("length")).first()
+    most, tasks = known[0] or 0, _tasks(spark, known[1] or 0, known[2] or 0)
+    spread = cut.repartition(tasks, "file", "start")
     edges = stored(spread.select("file", "length", "start", "stop").mapInArrow(_candidates, "file string, at bigint, to bigint"), "candidates")
-    heads = edges.filter("at = 0").select("file", "at")
+    heads = cut.select("file", F.lit(0).cast("bigint").alias("at")).distinct()
     entries = edges.select("file", F.col("to").alias("at")).union(heads).distinct()
     jump = stored(edges.join(entries, ["file", "at"], "left_semi"), "jumps")
     reach = heads
@@ -164,15 +217,15 @@ def reached(spark: SparkSession, folder: str, size: int = 1 << 23) -> tuple[Data
         ahead = reach.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))
         reach = stored(reach.union(ahead).distinct(), "reach")
         further = jump.select("file", F.col("at").alias("to"), F.col("to").alias("_to"))
-        # a pointer that ends its file has nowhere to go and is needed no more
+        # a pointer that ends its file or breaks has nowhere to go and is needed no more
         jump = stored(jump.join(further, ["file", "to"]).select("file", "at", F.col("_to").alias("to")), "jumps")
-    return cut, reach
+    return cut, reach, tasks
 
 
 def broken(cut: DataFrame, reach: DataFrame) -> DataFrame:
-    """Files whose chain does not end where the file ends."""
-    ends = reach.withColumnRenamed("at", "length")
-    return cut.select("file", "length").distinct().join(ends, ["file", "length"], "left_anti")
+    """(file, length, at) of the files whose chain does not end where the file ends, and where it breaks."""
+    last = reach.groupBy("file").agg(F.max("at").alias("at"))
+    return cut.select("file", "length").distinct().join(last, "file").filter("at != length")
 
 
 def _urn_value(value: str | None) -> str | None:
@@ -188,21 +241,15 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows, held = [], 0
     for b in batches:
-        for file, at, stop in zip(*(c.to_pylist() for c in b.columns)):
+        for file, length, at, stop in zip(*(c.to_pylist() for c in b.columns)):
             with closing(_open(file)) as f:
-                while at < stop:
-                    f.seek(at)
-                    raw = f.read(4096)
-                    if (head := _header(raw)) is None:
-                        raw += f.read(MOST_HEADER)
-                        head = _header(raw)
-                    if head is None:
-                        raise ValueError(f"no record at {at} of {file}")
-                    size, fields = head
-                    length = int(fields["content-length"])
-                    body = raw[size : size + length]
-                    if len(body) < length:
-                        body += f.read(length - len(body))
+                w = Window(f, at, length)
+                w.hold(stop)
+                # a block that a broken chain enters ends with the break
+                while at < stop and (found := _record(w, at)):
+                    start, to, fields = found
+                    w.hold(to)
+                    body = w.raw[start - w.base : to - len(_STOP) - w.base]
                     if fields.get("content-type", "").startswith("application/http"):
                         body = body.partition(_STOP)[2]
                     known = fields.get("x-payload-length", "")
@@ -211,7 +258,8 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         fields.get("warc-payload-digest"), _urn_value(fields.get("warc-refers-to")), int(known) if known.isdecimal() else None, body,
                     ))
                     held += len(body) + 500
-                    at += size + length + len(_STOP)
+                    at = to
+                    w.forget(at)
                     if held > 1 << 22:
                         yield batch(rows)
                         rows, held = [], 0
@@ -219,12 +267,14 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(rows)
 
 
-def read(spark: SparkSession, folder: str, size: int = 1 << 23) -> DataFrame:
+def read(spark: SparkSession, folder: str, size: int = 1 << 23, strict: bool = True) -> DataFrame:
     """The records (RECORD) of all archives under a folder."""
-    cut, reach = reached(spark, folder, size)
+    cut, reach, tasks = reached(spark, folder, size)
+    if strict and (bad := broken(cut, reach).limit(5).collect()):
+        raise ValueError("archives break: " + ", ".join(f"{r['file']} of {r['length']} bytes at {r['at']}" for r in bad))
     own = reach.withColumn("start", F.col("at") - F.col("at") % size)
-    starts = cut.join(own, ["file", "start"]).select("file", "at", "stop")
-    return starts.repartition(F.col("file"), F.col("at")).mapInArrow(_records, RECORD)
+    starts = cut.join(own, ["file", "start"]).select("file", "length", "at", "stop")
+    return starts.repartition(tasks, "file", "at").mapInArrow(_records, RECORD)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, size: int = 1 << 23, **columns) -> DataFrame:

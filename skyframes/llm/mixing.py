@@ -3,15 +3,21 @@
 A multinomial logistic classifier, trained on a bounded sample of a labelled table, gives each
 document a posterior over domains, from which hashed words it has and from its shape. A document's
 tokens count for each domain in proportion. Rates r >= 0 are fitted so that the expected tokens of
-each domain, sum of r * posterior * tokens, match the targets: projected gradient on the least
-squares of the differences, starting from rate 1. The squares are weighted by the inverse of the
-domains' second moments and the step of a document by 1 / tokens, which makes a step of 1 safe and
-treats long and short documents alike. A document's rate depends only on its posterior and on the
-multipliers of the steps so far, so a step is one aggregate of a few numbers over a narrow table.
+each domain, sum of r * posterior * tokens, match the targets: accelerated projected gradient (with
+restarts) on the least squares of the differences, starting from rate 1. The step of a document is
+divided by its tokens, which treats long and short documents alike, and the squares are weighted by
+the inverse of the domains' second moments, for which a step of 1 is safe whatever the shares of
+the domains. A document's rate depends only on its posterior and on the few numbers of each step so
+far, so a step is one pass over a narrow table, in which each task replays the steps and gives one
+row of sums.
+
+The result says what was reached: `reached` has the share of each domain at the rates given, and
+`met` whether all are within `close` of their targets. Targets that no nonnegative rates can meet
+are not met, and the rates come as near as the steps got.
 
 Defined results: null or empty texts have no tokens and the rate 1 takes steps like any other; a
-domain with a target but no labelled document can't be filled and is left out, with the other
-targets scaled up; a domain that has too little text gets high rates and may stay below its target; without labelled rows there is no posterior and all rates are 1; targets must be
+domain with a target but without a labelled document of some text can't be filled and is left out, with the other
+targets scaled up; without labelled rows there is no posterior, all rates are 1 and nothing is met; targets must be
 nonnegative and not all 0. Labels of one id that disagree count once each. Rows are rated one by
 one. Input columns of the results' names are replaced.
 """
@@ -22,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +91,19 @@ def train(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, k: int, rounds:
     return out, b
 
 
-def fit(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, most_chars: int = 16_384, text: str = "text", doc_id: str = "doc_id", domain: str = "domain") -> Model | None:
-    """labelled: ids and domains. The sample: for each domain the `per_domain` ids of smallest hash, of texts of at most `most_chars`."""
+def fit(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, most_domains: int = 64, text: str = "text", doc_id: str = "doc_id", domain: str = "domain") -> Model | None:
+    """labelled: ids and domains. The sample: for each domain the `per_domain` ids of smallest hash among those with a text.
+
+    Whole texts are read, and the driver gets the set of buckets of each. More than `most_domains` domains are an error.
+    """
     known = labelled.filter(F.col(domain).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(domain).cast("string").alias("_y")).distinct()
-    counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).filter("_t is not null and _t != ''")
+    known = stored(known.join(texts.select("_id").distinct(), "_id", "left_semi"), "labelled")
+    counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().limit(most_domains + 1).collect()}
     if not counts:
         return None
+    if len(counts) > most_domains:
+        raise ValueError(f"more than {most_domains} domains")
     names, picked = sorted(counts), None
     for y in names:
         one = known.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_domain)
@@ -103,12 +117,8 @@ def fit(docs: DataFrame, labelled: DataFrame, per_domain: int = 1500, most_chars
                 made += np.split(bucket.astype(np.int32), np.searchsorted(row, np.arange(1, p.n)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([m.tobytes() for m in made], pa.binary())], names=["id", "y", "buckets"])
 
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).filter(F.length("_t").between(1, most_chars))
     got = texts.join(F.broadcast(picked), "_id").select(F.col("_id").cast("string").alias("id"), "_y", "_t").mapInArrow(rows, "id string, y string, buckets binary").collect()
-    if not got:
-        return None
     got = sorted((r["id"] or "", r["y"], bytes(r["buckets"])) for r in got)
-    names = sorted({x[1] for x in got})  # a domain that no document has can't be learned, nor filled
     sets = [np.frombuffer(x[2], np.int32) for x in got]
     y = np.array([names.index(x[1]) for x in got])
     weights, bias = train(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets), y, len(names))
@@ -140,47 +150,95 @@ def posteriors(docs: DataFrame, model: Model | None, text: str = "text") -> Data
     return appended(docs, "n_tokens bigint, posterior array<double>", judge)
 
 
-def rates(rows: DataFrame, targets: list[float], rounds: int = 60, close: float = 1e-4) -> tuple[Column, np.ndarray]:
+def replayed(q: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
+    """Rates after the steps (momentum, multipliers) of rows with these posteriors."""
+    rate = before = np.ones(len(q))
+    for momentum, step in steps:
+        rate, before = np.maximum(0, rate + momentum * (rate - before) - q @ step), rate
+    return rate
+
+
+def _posterior(column: pa.Array, k: int) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(-1, k)
+
+
+def _totals(rows: DataFrame, k: int, steps: list | None) -> np.ndarray:
+    """Expected tokens of each domain after the steps; without any, all tokens and the second moments of the posteriors."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(k if steps is not None else 1 + k * k)
+        for b in batches:
+            n, q = np.asarray(b.column("n_tokens")).astype(float), _posterior(b.column("posterior"), k)
+            sums += (replayed(q, steps) * n) @ q if steps is not None else np.concatenate([[n.sum()], ((q * n[:, None]).T @ q).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], names=["i", "x"])
+
+    got = rows.select("n_tokens", "posterior").mapInArrow(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    out = np.zeros(k if steps is not None else 1 + k * k)
+    for r in got:  # as many numbers as domains, or their squares
+        out[r["i"]] = r["x"]
+    return out
+
+
+def rates(rows: DataFrame, targets: list[float], rounds: int = 100, close: float = 1e-5) -> tuple[Column, np.ndarray]:
     """The rate of a row, from its posterior, and the domains' expected tokens divided by all tokens.
 
-    rows: n_tokens and posterior, read once for each step; targets: a share for each domain.
+    rows: n_tokens and posterior, read once for each step; targets: a share for each domain. It ends
+    when all shares are within `close`, when steps change nothing any more, or after `rounds`.
     """
-    k = len(targets)
-    q = [F.get("posterior", F.lit(i)) for i in range(k)]
-    n = F.col("n_tokens").cast("double")
-    moments = [F.sum(n * q[i] * q[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
-    got = rows.agg(F.sum(n).alias("n"), *moments).first()
-    rate, total = F.lit(1.0), got["n"] or 0.0
-    if not total:
-        return rate, np.zeros(k)
-    g = np.array([[got[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
-    # damped for domains of less than a thousandth of the tokens, whose targets may be out of reach
-    inverse = np.linalg.inv(g + 1e-3 * np.trace(g) * np.eye(k))
-    wanted, reached = np.array(targets), g.sum(1)
-    for _ in range(rounds):
-        if np.abs(reached - wanted).max() <= close:
-            break
-        step = inverse @ (reached - wanted)
-        rate = F.greatest(F.lit(0.0), rate - sum((q[i] * float(step[i]) for i in range(k)), F.lit(0.0)))
-        found = rows.agg(*[F.sum(rate * n * q[i]).alias(f"t{i}") for i in range(k)]).first()
-        reached = np.array([found[f"t{i}"] for i in range(k)]) / total
-    return rate, reached
-
-
-def mixed_to(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], text: str = "text", **fitting) -> DataFrame:
-    """docs with n_tokens, posterior (array), domain (likeliest) and rate.
+    k, wanted = len(targets), np.array(targets)
+    first = _totals(rows, k, None)
+    total, g = first[0], first[1:].reshape(k, k) / max(first[0], 1.0)
+    # a domain without mass takes no part: its target is out of reach
+    inverse = np.linalg.pinv(g, rcond=1e-12, hermitian=True)
+    miss = lambda x: float((x - wanted) @ inverse @ (x - wanted))
+    steps: list[tuple[float, np.ndarray]] = []
+    reached = before = g.sum(1)
+    speed, still = 1.0, 0
+    while total and len(steps) < rounds and np.abs(reached - wanted).max() > close and still < 3:
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        momentum = (speed - 1) / faster
+        ahead = reached + momentum * (reached - before)
+        tried = [*steps, (momentum, inverse @ (ahead - wanted))]
+        there = _totals(rows, k, tried) / total
+        if momentum and miss(there) > miss(reached):
+            speed = 1.0  # start again from here, without momentum
+            continue
+        still = still + 1 if np.abs(there - reached).max() < close / 10 else 0
+        steps, before, reached, speed = tried, reached, there, faster
+
+    @F.pandas_udf("double")
+    def rate(posterior: pd.Series) -> pd.Series:
+        out = np.ones(len(posterior))
+        real = posterior.notna().to_numpy()
+        if real.any():
+            out[real] = replayed(np.stack(posterior[real].to_list()), steps)
+        return pd.Series(out)
+
+    return rate("posterior"), reached
+
+
+def mixed_to(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], text: str = "text", close: float = 1e-5, **fitting) -> DataFrame:
+    """docs with n_tokens, posterior (array), domain (likeliest), rate, reached (array of shares, as the posterior) and met.
 
     targets: the share of all tokens that each domain shall have; shares are scaled to sum 1.
     """
     if min(targets.values(), default=0) < 0 or not sum(targets.values()):
         raise ValueError(f"targets must be nonnegative and not all 0: {targets}")
     model = fit(docs, labelled, text=text, **fitting)
+    new = {"n_tokens", "posterior", "domain", "rate", "reached", "met"}
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in new and c != text])
     rated = stored(posteriors(docs, model, text), "posteriors")
     if model is None:
-        return rated.withColumns({"domain": F.lit(None).cast("string"), "rate": F.lit(1.0)})
+        nothing = {"domain": F.lit(None).cast("string"), "rate": F.lit(1.0), "reached": F.lit(None).cast("array<double>"), "met": F.lit(False)}
+        return rated.withColumns(nothing)
     wanted = np.array([targets.get(d, 0.0) for d in model.domains])
     if not wanted.sum():
         raise ValueError(f"no target is a labelled domain: {targets}, {model.domains}")
-    rate, _ = rates(rated.select("n_tokens", "posterior"), list(wanted / wanted.sum()))
+    wanted = wanted / wanted.sum()
+    rate, reached = rates(rated.select("n_tokens", "posterior"), list(wanted), close=close)
     top = F.array_position("posterior", F.array_max("posterior")).cast("int")
-    return rated.withColumns({"domain": F.element_at(F.array(*map(F.lit, model.domains)), top), "rate": rate})
+    return rated.withColumns({
+        "domain": F.element_at(F.array(*map(F.lit, model.domains)), top), "rate": rate,
+        "reached": F.array(*[F.lit(float(x)) for x in reached]),
+        "met": F.lit(bool(np.abs(reached - wanted).max() <= close)),
+    })

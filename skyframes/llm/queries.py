@@ -106,7 +106,7 @@ TARGETS = {"clean": 0.9, "junk": 0.06, "toxic": 0.04}
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = mixing.mixed_to(docs, labelled_domains(table(spark, sf_dir, "labels")), TARGETS)
-    return out.select("doc_id", "n_tokens", "domain", "posterior", "rate")
+    return out.select("doc_id", "n_tokens", "domain", "posterior", "rate", "reached", "met")
 
 
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ repeats itself compresses alike with both) turns it into a probability, fitted o
 that gave nothing to the dictionaries.
 
 The fit uses a bounded sample: `per_class` rows of each label for the dictionaries and as many for
-the calibration, those of the smallest hash of their id, of texts of at most `most_chars`
+the calibration, those of the smallest hash of their id among the ids that have a text of 1 to `most_chars`
 characters. Scoring covers all rows and whole texts.
 
 Defined results: a null text counts as an empty one; an empty text has difference 0 and ratio 1,
@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import appended
+from .tables import appended, stored
 
 
 @dataclass
@@ -92,6 +92,7 @@ def fit(
     """labels: ids and a label of 1 (good) or 0 (bad); None if a class has no text."""
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).cast("int").alias("_y"))
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).filter(F.length("_t").between(1, most_chars))
+    known = stored(known.join(texts.select("_id").distinct(), "_id", "left_semi"), "labelled")
     rank = F.xxhash64("_id")
     picked = None
     for y in (0, 1):

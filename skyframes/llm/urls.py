@@ -22,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TOKEN = re.compile("[a-z0-9]+")
 
@@ -112,8 +114,17 @@ def judged(pages: DataFrame, rules: list[Rule], otherwise: str = "allow", url: s
         .groupBy("_url")
         .agg(F.min(F.struct(-F.col("tier"), -F.col("length"), "name", "action", "tier")).alias("_best"))
     )
-    out = kept.join(found, kept[url] == found["_url"], "left").withColumns({
-        "host": host(F.col(url)), "path": path(F.col(url)),
-        "rule": F.col("_best.name"), "tier": F.col("_best.tier"), "verdict": F.coalesce("_best.action", F.lit(otherwise)),
-    })
-    return out.drop("_url", "_best")
+    # tables of their own, so that the join can split a URL that many pages have; pages that no rule fits do not meet there
+    found = stored(found, "judged-urls")
+    address, none = F.col(f"`{url}`"), F.lit(None)
+
+    def result(rows: DataFrame, name: Column, tier: Column, action: Column) -> DataFrame:
+        new = {"host": host(address), "path": path(address), "rule": name.cast("string"), "tier": tier.cast("int"), "verdict": F.coalesce(action.cast("string"), F.lit(otherwise))}
+        return rows.select(*[F.col(f"`{c}`") for c in kept.columns], *[column.alias(c) for c, column in new.items()])
+
+    # the other side's columns get names that no page has
+    own = {c.lower() for c in kept.columns}
+    key, best = (next(f"{c}{i}" for i in range(len(own) + 1) if f"{c}{i}" not in own) for c in ("_url", "_best"))
+    met = kept.filter(address.isNotNull()).join(found.withColumnsRenamed({"_url": key, "_best": best}), address == F.col(key), "left")
+    with_url = result(met, F.col(f"{best}.name"), F.col(f"{best}.tier"), F.col(f"{best}.action"))
+    return with_url.unionByName(result(kept.filter(address.isNull()), none, none, none))

@@ -261,13 +261,12 @@ def train(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, rate:
     return Field(*values)
 
 
-def fit(docs: DataFrame, sample: int = 4000, around: int = 8, plain: int = 16, text: str = "text") -> Field | None:
+def fit(docs: DataFrame, sample: int = 4000, around: int = 8, plain: int = 16, most: int = 8, text: str = "text") -> Field | None:
     """Train on a bounded sample of whole documents; None if they hold no base match.
 
     What reaches the driver is some 17 tokens for each secret, of at most `most` per document, and
     `plain` tokens for each document.
     """
-    most = 8
     ranked = docs.filter(F.length(text) > 0).select(F.xxhash64(text).alias("_r"), F.lit(1).alias("_n"))
     cut = ranked.groupBy("_r").agg(F.sum("_n").alias("_n")).orderBy("_r").limit(sample).agg(F.max("_r").alias("r")).first()["r"]
     if cut is None:

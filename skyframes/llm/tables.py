@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,13 +13,32 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests, notebooks), the warehouse folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder in spark.checkpoint.dir, or, where that is unset, the one that the session was given later."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return found.rstrip("/")
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}{_SCOPE.get()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Removes the stage tables and archives that the block writes when it ends, also by an error; blocks may be nested.
+
+    Results that read them must be written or counted within the block.
+    """
+    token = _SCOPE.set(f"{_SCOPE.get()}/block-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        removed(spark, f"{shared_dir(spark)}{_SCOPE.get()}")
+        _SCOPE.reset(token)
 
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

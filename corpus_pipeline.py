@@ -25,12 +25,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each group of linked ones (five words, similarity 0.8), once each."""
+    """The least document of each group of linked ones (five words, similarity 0.8).
+
+    Equal texts of one id stay once, with the least of their other columns; different texts of one id all stay.
+    """
     groups = stored(jaccard.linked(docs.select("doc_id", "text"), k=5, percent=80).filter("doc_id is not null"), "groups")
     gone = stored(groups.filter("doc_id != component_id").select("doc_id").distinct(), "duplicates")
     again = stored(groups.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
     left = docs.join(gone, "doc_id", "left_anti")
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_least")
+    once = left.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(least)
+    once = once.select("doc_id", "text", *[F.col(f"_least.`{c}`").alias(c) for c in others])
     return left.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
 
 

@@ -19,9 +19,19 @@ from skyframes.llm.tables import stored
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """docs with names for its columns, but for id and text, that no operator gives its results."""
+    return docs.withColumnsRenamed({c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")})
+
+
+def _back(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs out of what an operator made of `_apart(docs)`."""
+    return out.select(*[F.col(c if c in ("doc_id", "text") else f"_own_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    return rules.judged(docs).filter("kept").select(*docs.columns)
+    return _back(rules.judged(_apart(docs)).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +52,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    out = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
-    return out.filter(~F.col("contaminated")).select(*docs.columns)
+    out = decontaminate.decontaminated(_apart(docs), table(spark, sf_dir, "benchmark"))
+    return _back(out.filter(~F.col("contaminated")), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
-    out = secrets.scanned(docs, secrets.fit(docs))
+    out = secrets.scanned(_apart(docs), secrets.fit(docs.select("doc_id", "text")))
     text = secrets.redacted(F.col("text"), F.col("spans"))
-    return out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))).withColumn("text", text).select(*docs.columns)
+    chars = f"_own_{docs.columns.index('n_chars')}"
+    out = out.withColumn(chars, F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col(chars)))
+    return _back(out.withColumn("text", text), docs)
 
 
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

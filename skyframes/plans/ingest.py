@@ -32,3 +32,14 @@ def every_request(requests: DataFrame, devices: DataFrame) -> DataFrame:
     none = [F.lit(None).cast("bigint").alias(c) for c in ("t1", "t2")]
     rejects = rq.window_rejects(checked, devices)
     return windows.unionByName(rejects.select("request_id", F.col("dev_id").alias("device_id"), *none, F.array_join("errors", ",").alias("errors")))
+
+
+def frames_of_requests(selected: DataFrame, captures: DataFrame, devices: DataFrame, frames: DataFrame) -> DataFrame:
+    """(request_id, capture_id, frame_id): the stored frame of each selected capture, null where none is stored.
+
+    A capture lands under a name, and a stored frame's id is the hash of its file's name. Of captures
+    of one device and second the last one has the name; the others have no frame. No picture is read.
+    """
+    names = rq.landing_names(captures, devices).select(F.col("frame_id").alias("capture_id"), F.xxhash64("name").alias("frame_id"))
+    known = names.join(frames.select("frame_id").distinct(), "frame_id", "left_semi")
+    return selected.select("request_id", F.col("frame_id").alias("capture_id")).join(known, "capture_id", "left").select("request_id", "capture_id", "frame_id")

@@ -10,7 +10,8 @@ from test_images import NAMES, folder, png  # noqa: F401
 
 from skyframes.catalog import views
 from skyframes.operators import mask, sun
-from skyframes.plans import sky, suntrack
+from skyframes.operators import requests as rq
+from skyframes.plans import ingest, sky, suntrack
 from skyframes.session import stage_table
 from skyframes.sources import frames as store
 from skyframes.sources.images import read_images
@@ -126,3 +127,26 @@ def test_wanted_frames_only(spark, scene):
     assert 0 < len(want) < every.count()
     for pictures in (stored, stored.drop("slice")):
         assert sorted(map(tuple, sun.detect(pictures, masks, only, least=1, most=5).select(columns).collect())) == want
+
+
+def test_selected_captures_meet_their_stored_frames(spark, tmp_path):
+    """From a request over its captures and their landing names to frames in the store."""
+    start = DAY_ONE * 86400 + 36000
+    rows = [(i, "04E670000001", start + 60 * (i // 2), "u" if i != 4 else None) for i in range(8)]  # two a second
+    captures = spark.createDataFrame(rows, "frame_id long, device_id string, ts long, image_url string")
+    devices = spark.createDataFrame([("04E670000001", -3.0)], "device_id string, utc double")
+    requests = spark.createDataFrame([(1, "04E670000001", "2024-1-1", "6:59am", "2024-1-1", "7:02am")], "request_id long, dev_id string, d1 string, t1 string, d2 string, t2 string")
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    landed = {r.name: r.frame_id for r in rq.landing_names(captures, devices).collect()}
+    for name, i in landed.items():
+        if i != 3:  # one was never fetched
+            (folder / name).write_bytes(png(2, 2, 3, lambda y, x, i=i: (i, i, i)))
+    target = f"file://{tmp_path}/stored"
+    store.store_frames(spark, str(folder), target, buckets=2)
+    frames = store.read_frames(spark, target)
+    selected = ingest.select_captures(requests, devices, captures)["selected"]
+    linked = stage_table(ingest.frames_of_requests(selected, captures, devices, frames), "linked")
+    assert sorted((r.request_id, r.capture_id, r.frame_id is not None) for r in linked.collect()) == [(1, 0, False), (1, 1, True), (1, 2, False), (1, 3, False)]
+    shown = linked.join(frames, "frame_id").collect()
+    assert [(r.capture_id, r.day, r.tod, bytes(r.data)[0]) for r in shown] == [(1, DAY_ONE, 7 * 3600, 1)]

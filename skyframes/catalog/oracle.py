@@ -48,7 +48,7 @@ _view("timed", "select frame_id, device_id, ts // 86400 - 19722 as day, ts % 864
 _view("frames", "select *, (frame_id * 37) % 50 as lum, (frame_id * 53 + 11) % 47 as wal from timed")
 _view("scene", f"""with f as (select *, 2 + (11 * tod) // 86400 as cx from frames),
   f2 as (select *, 3 + ((cx - 7) * (cx - 7)) // 8 as cy from f),
-  g as (select y, x, case when y < 14 and x < 14 then 1 when y < 11 and x >= 16 then 2 when y >= 16 then 3 else 0 end as part
+  g as (select y, x, case when y < 14 and x < 14 then 1 when y < 11 and x >= 16 then 2 when y >= 18 then 3 else 0 end as part
         from (select range as y from range({SIDE})) t cross join (select range as x from range({SIDE})) u),
   h as (select *, (x - cx) * (x - cx) + (y - cy) * (y - cy) <= 5 as sun from f2 cross join g)
   select frame_id, device_id, day, tod, y, x,

@@ -82,7 +82,7 @@ def scene_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # half widths 2 2 1 of the disc of squared radius 5, by distance from its middle row
     data = f"""unhex(array_join(transform(transform(sequence(0, {SIDE - 1}), y -> named_struct(
-        'row', case when y < 11 then both_skies when y < 14 then one_sky when y < 16 then bare else walled end,
+        'row', case when y < 11 then both_skies when y < 14 then one_sky when y < 18 then bare else walled end,
         'half', get(array(2, 2, 1), cast(abs(y - cy) as int)))),
       p -> if(p.half is null, p.row,
         overlay(p.row placing repeat('FFFFFF', 2 * p.half + 1) from cast(6 * (cx - p.half) + 1 as int)))), ''))"""

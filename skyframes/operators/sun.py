@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,26 @@ def sun_regions(images: DataFrame, mask: DataFrame, only: DataFrame | None = Non
     return _each_sight(images, mask, only, limit, size, RUNS, lambda regions, under: run_lists(regions))
 
 
+def _bits(image: np.ndarray) -> tuple[bytes, int, int]:
+    return np.packbits(image).tobytes(), *image.shape
+
+
+def _image(raw: bytes, high: int, wide: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8), count=high * wide).reshape(high, wide).astype(bool)
+
+
+@lru_cache(1 << 12)
+def _circle_of_shape(raw: bytes, high: int, wide: int) -> tuple[int, int, int]:
+    """`circle_of` of a cut-out: suns of many frames have the same shape."""
+    return circle_of(_image(raw, high, wide))
+
+
+@lru_cache(1 << 12)
+def _area_on_shape(cx: int, cy: int, r: int, raw: bytes, high: int, wide: int) -> int:
+    *_, area = kernels.parts_of(kernels.fill_each((kernels.disc(cx, cy, r, high, wide) & _image(raw, high, wide))[None]))
+    return int(area.max(initial=0))
+
+
 def circle_of(region: np.ndarray) -> tuple[int, int, int]:
     """cx, cy, r: the whole-number smallest circle around the foreground of an image."""
     _, start, length = kernels.flat_runs(region[None])
@@ -115,7 +136,7 @@ def measured(regions: np.ndarray, under: np.ndarray, least: int, most: int) -> l
         # a region wider or higher than any accepted disc needs no circle
         if max(rows.stop - rows.start, columns.stop - columns.start) <= 2 * most + 4:
             part = region[rows, columns]
-            cx, cy, r = circle_of(part)
+            cx, cy, r = _circle_of_shape(*_bits(part))
             cx, cy = cx + columns.start, cy + rows.start
             if least <= r <= most:
                 found = [cx, cy, r, int(part.sum()), disc_area(cx, cy, r, mask)]
@@ -130,8 +151,7 @@ def disc_area(cx: int, cy: int, r: int, mask: np.ndarray) -> int:
     box = mask[top : min(high, cy + r + 2), left : min(wide, cx + r + 2)]
     if not box.size:
         return 0
-    *_, area = kernels.parts_of(kernels.fill_each((kernels.disc(cx, cy, r, *box.shape, top, left) & box)[None]))
-    return int(area.max(initial=0))
+    return _area_on_shape(cx - left, cy - top, r, *_bits(box))
 
 
 def accept(discs: DataFrame, least: int = 15, most: int = 100, filled: float = 0.5) -> DataFrame:

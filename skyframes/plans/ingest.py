@@ -20,7 +20,7 @@ def select_captures(requests: DataFrame, devices: DataFrame, captures: DataFrame
         "selected": rq.with_image(selected),
         "windows": windows,
         "folders": rq.landing_folders(windows),
-        "without_images": rq.requests_without_images(windows, selected),
+        "without_images": rq.requests_without_images(windows, rq.captures_in_windows(windows, rq.with_image(captures), first=True)),
         "quarantine": rq.window_rejects(checked, devices),
     }
 

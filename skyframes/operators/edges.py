@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skyframes.operators import kernels, stencil
 from skyframes.operators.stacks import RUNS, arrow_pass, kept, run_lists, stacks
@@ -14,12 +15,12 @@ from skyframes.operators.stacks import RUNS, arrow_pass, kept, run_lists, stacks
 
 def smoothed(images: DataFrame, *keys: str) -> DataFrame:
     """Flat smoothed grey image: keys, height, width, smooth."""
-    return images.select(*keys, "height", "width", stencil.smooth_luma("data", "height", "width").alias("smooth"))
+    return stencil.smooth_luma(images, *keys)
 
 
 def ridges(images: DataFrame, *keys: str) -> DataFrame:
     """Thinned gradient: keys, height, width, ridge (pos, mag)."""
-    return images.select(*keys, "height", "width", stencil.ridge_pixels("data", "height", "width").alias("ridge"))
+    return stencil.ridge_pixels(images, *keys).select(*keys, "height", "width", F.struct("pos", "mag").alias("ridge"))
 
 
 def edge_flags(bgr: np.ndarray, low: int, high: int) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skyframes.functions import color
 from skyframes.operators import kernels
 from skyframes.operators.edges import edge_flags
-from skyframes.operators.stacks import RUNS, arrow_pass, kept, lists, run_rows, stacks
+from skyframes.operators.stacks import RUNS, arrow_pass, kept, listed, lists, run_rows, stacks
 
 IMAGE = ("device_id", "day", "height", "width")
 _BAND = 1 << 14  # pixels of a band of rows
@@ -76,12 +76,15 @@ def pixel_hits(images: DataFrame, low: int = 100, high: int = 200) -> DataFrame:
         for batch in batches:
             kinds = batch.schema
             keys = list(zip(*(batch.column(c).to_pylist() for c in IMAGE)))
+            # frames of a key side by side, so that a stack has few keys
+            numbers: dict[tuple, int] = {}
+            order = np.argsort([numbers.setdefault(key, len(numbers)) for key in keys], kind="stable")
+            batch, keys = batch.take(pa.array(order, pa.int64())), [keys[i] for i in order]
             for rows, bgr in stacks(batch):
                 sky, edge = sky_flags(bgr), edge_flags(bgr, low, high)
-                by: dict[tuple, list[int]] = {}
-                for i, row in enumerate(rows):
-                    by.setdefault(keys[row], []).append(i)
-                for key, some in by.items():
+                ends = [i for i in range(1, len(rows)) if keys[rows[i]] != keys[rows[i - 1]]]
+                for some in map(slice, [0, *ends], [*ends, len(rows)]):
+                    key = keys[rows[some.start]]
                     c = held.pop(key, None)
                     if c is None:
                         c, pixels = _Counter(*bgr.shape[1:3]), pixels + sky[0].size
@@ -208,22 +211,17 @@ def region_sums(images: DataFrame, regions: DataFrame) -> DataFrame:
     """
 
     def add(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        runs = [batch.column(c) for c in ("start", "length", "region")]
         for rows, bgr in stacks(batch):
             difference = np.abs(bgr[..., 2].astype(np.int64) - bgr[..., 0]).reshape(len(rows), -1)
             running = np.zeros((len(rows), difference.shape[1] + 1), np.int64)
             np.cumsum(difference, axis=1, out=running[:, 1:])
-            found = [[], [], []]
-            for at, total in zip(rows, running):
-                start, length, region = (np.asarray(c[int(at)].values).astype(np.int64) for c in runs)
-                sums = np.zeros(int(region.max(initial=0)) + 1, np.int64)
-                np.add.at(sums, region, total[start + length] - total[start])
-                names = np.unique(region)
-                found[0].append(np.full(len(names), at))
-                found[1].append(names)
-                found[2].append(sums[names])
-            at, region, sums = (np.concatenate(x) for x in found)
-            own = batch.take(pa.array(at))
+            place, start, length, region = listed(batch, rows, "start", "length", "region")
+            name = place * (int(region.max(initial=0)) + 1) + region
+            names, which = np.unique(name, return_inverse=True)
+            sums = np.zeros(len(names), np.int64)
+            np.add.at(sums, which, running[place, start + length] - running[place, start])
+            at, region = np.divmod(names, int(region.max(initial=0)) + 1)
+            own = batch.take(pa.array(rows[at]))
             yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("frame_id", *IMAGE)), pa.array(region, pa.int32()), pa.array(sums, pa.int64())], names=["frame_id", *IMAGE, "region", "rb_sum"])
 
     met = beside_pictures(images, regions.select(*IMAGE, "start", "length", "region"), "frame_id")
@@ -283,30 +281,36 @@ def masks_by_day(mask: DataFrame) -> DataFrame:
     return each.groupBy(*IMAGE).agg(F.array_sort(F.collect_list("m")).alias("masks"))
 
 
-def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each frame of a stack and mask that serves its day: the frame's place in the stack, the mask's day, the mask's image."""
-    drawn: dict[bytes, np.ndarray] = {}
-    place, days, images = [], [], []
-    column = batch.column("masks")
-    for i, row in enumerate(rows):
-        for m in column[int(row)].values or ():
-            start, length = (np.asarray(m[c].values).astype(np.int64) for c in ("start", "length"))
-            key = start.tobytes() + length.tobytes()
-            if key not in drawn:
-                drawn[key] = kernels.drawn((1, *shape[1:]), np.zeros(len(start), np.int64), start, length)[0]
-            place.append(i)
-            days.append(m["mask_day"].as_py())
-            images.append(drawn[key])
-    return np.array(place, np.int64), np.array(days, np.int64), np.stack(images) if images else np.zeros((0, *shape[1:]), bool)
+def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray, drawn: dict[tuple, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each frame of a stack and mask that serves its day: the frame's place in the stack, the mask's day, the mask's image.
+
+    drawn: the masks of the batch that are drawn already; it grows.
+    """
+    column = batch.column("masks").take(pa.array(rows))
+    place = np.repeat(np.arange(len(rows)), np.asarray(column.value_lengths().fill_null(0)))
+    masks = column.flatten()
+    values, ends = [], []
+    for c in ("start", "length"):
+        runs = masks.field(c)
+        values.append(np.asarray(runs.flatten()).astype(np.int64))
+        ends.append([0, *np.cumsum(np.asarray(runs.value_lengths().fill_null(0))).tolist()])
+    images = []
+    for i in range(len(masks)):
+        start, length = (x[e[i] : e[i + 1]] for x, e in zip(values, ends))
+        key = shape[1:], start.tobytes(), length.tobytes()
+        if key not in drawn:
+            drawn[key] = kernels.drawn((1, *shape[1:]), np.zeros(len(start), np.int64), start, length)[0]
+        images.append(drawn[key])
+    return place, np.asarray(masks.field("mask_day")).astype(np.int64), np.stack(images) if images else np.zeros((0, *shape[1:]), bool)
 
 
 def masked_pixels(images: DataFrame, mask: DataFrame) -> DataFrame:
     """A row per frame and mask that serves its day: (frame_id, mask_day, width, pos, bgr), the pixels under the mask in order."""
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column("frame_id")
-        for rows, bgr in stacks(batch, 1 << 18):
-            place, days, under = sights(batch, bgr.shape[:3], rows)
+        ids, drawn = batch.column("frame_id"), {}
+        for rows, bgr in stacks(batch):
+            place, days, under = sights(batch, bgr.shape[:3], rows, drawn)
             packed = bgr.astype(np.int32)
             packed = (packed[..., 0] << 16 | packed[..., 1] << 8 | packed[..., 2]).reshape(len(bgr), -1)
             sight, pos = np.nonzero(under.reshape(len(under), bgr.shape[1] * bgr.shape[2]))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from skyframes.operators.kernels import flat_runs
 
 RUNS = "start array<int>, length array<int>"
-_PIXELS = 1 << 20
+_PIXELS = 1 << 16  # few enough for the arrays of a kernel to stay in a core's cache
 
 
 def stacks(batch: pa.RecordBatch, most: int = _PIXELS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -47,6 +47,13 @@ def lists(rows: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values).cast(kind))
 
 
+def listed(batch: pa.RecordBatch, rows: np.ndarray, *names: str) -> list[np.ndarray]:
+    """Elements of list columns of the given rows: the place in `rows` of each, and its value in each column. The lists of a row are of one length."""
+    columns = [batch.column(c).take(pa.array(rows)) for c in names]
+    place = np.repeat(np.arange(len(rows)), np.asarray(columns[0].value_lengths().fill_null(0)))
+    return [place, *(np.asarray(c.flatten()).astype(np.int64) for c in columns)]
+
+
 def run_lists(flags: np.ndarray) -> list[pa.ListArray]:
     """Columns start and length of a stack of binary images."""
     image, start, length = flat_runs(flags)

@@ -9,21 +9,28 @@ Two image columns are used, one image per table row as the image source delivers
 Built-in lambdas over arrays cost microseconds per pixel (they are interpreted), and a
 row per neighbour pixel costs a shuffle of 13 rows per pixel. The kernels therefore run
 on Arrow batches inside the task that already holds the image. A table row is bounded by
-one camera frame; Arrow batches are bounded by `spark.sql.execution.arrow.maxBytesPerBatch`.
+one camera frame; Arrow batches are bounded by `spark.sql.execution.arrow.maxBytesPerBatch`, and
+what a task makes of one goes back in pieces, so its memory does not grow with the batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyframes.functions import color
 from skyframes.operators.kernels import derivatives, grey, ridges, smooth, sweep
+from skyframes.operators.stacks import arrow_pass, kept, lists, stacks
 
 _INTS = T.ArrayType(T.IntegerType())
+_PIXELS = 1 << 18  # of a batch that goes back to Spark
 
 
 def image_udf(result: T.DataType):
@@ -31,10 +38,6 @@ def image_udf(result: T.DataType):
     return lambda fn: F.pandas_udf(fn, result).asNondeterministic()
 
 
-def _frame(data: bytes, height: int, width: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(height, width, 3)
-
-
 def run_steps(pos: np.ndarray, height: int, width: int, steps: tuple) -> tuple[np.ndarray, int, int]:
     """Binary image after the steps, cut to the part of the frame that can hold foreground, and its corner.
 
@@ -60,21 +63,33 @@ def frame_positions(local: np.ndarray, wide: int, top: int, left: int, width: in
     return (y + top) * width + x + left
 
 
-@image_udf(_INTS)
-def smooth_luma(data: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
-    """Bilaterally smoothed grey values, flat."""
-    return pd.Series([smooth(grey(_frame(*p))).ravel() for p in zip(data, height, width)])
+def smooth_luma(images: DataFrame, *keys: str) -> DataFrame:
+    """Bilaterally smoothed grey values, flat: keys, height, width, smooth."""
+    named = [*keys, "height", "width"]
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for rows, bgr in stacks(batch):
+            own = batch.take(pa.array(rows))
+            values = smooth(grey(bgr)).reshape(len(rows), -1)
+            found = lists(np.repeat(np.arange(len(rows)), values.shape[1]), values.ravel(), len(rows), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in named), found], names=[*named, "smooth"])
+
+    return arrow_pass(images.select(*named, "data"), f"{kept(images, *named)}, smooth array<int>", run)
+
 
+def ridge_pixels(images: DataFrame, *keys: str) -> DataFrame:
+    """Ridges of the gradient of the smoothed grey image: keys, height, width, pos and mag (positions and magnitudes)."""
+    named = [*keys, "height", "width"]
 
-@image_udf(T.StructType([T.StructField("pos", _INTS), T.StructField("mag", _INTS)]))
-def ridge_pixels(data: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-    """Ridges of the gradient of the smoothed grey image: positions and magnitudes."""
-    found = []
-    for p in zip(data, height, width):
-        mag = ridges(*derivatives(smooth(grey(_frame(*p))))).ravel()
-        pos = np.flatnonzero(mag)
-        found.append((pos, mag[pos]))
-    return pd.DataFrame(found, columns=["pos", "mag"])
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for rows, bgr in stacks(batch):
+            own = batch.take(pa.array(rows))
+            mag = ridges(*derivatives(smooth(grey(bgr)))).reshape(len(rows), -1)
+            row, pos = np.nonzero(mag)
+            found = [lists(row, x, len(rows), pa.int32()) for x in (pos, mag[row, pos])]
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in named), *found], names=[*named, "pos", "mag"])
+
+    return arrow_pass(images.select(*named, "data"), f"{kept(images, *named)}, pos array<int>, mag array<int>", run)
 
 
 def erode(size: int):
@@ -105,19 +120,38 @@ def reshape(pos: Column, *steps) -> Column:
     return run(pos, "height", "width")
 
 
-@image_udf(_INTS)
-def packed_pixels(data: pd.Series) -> pd.Series:
-    """Pixels of B, G, R bytes as one INT each; see `skyframes.functions.color`."""
-    triples = (np.frombuffer(d, np.uint8).reshape(-1, 3).astype(np.int32) for d in data)
-    return pd.Series([t[:, 0] << 16 | t[:, 1] << 8 | t[:, 2] for t in triples])
+def _pieces(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Rows one after the other, of at most about `most` together; a row is never cut."""
+    part = (np.cumsum(sizes) - sizes) // most
+    ends = [*np.flatnonzero(np.diff(part)) + 1, len(sizes)]
+    return (slice(a, b) for a, b in zip([0, *ends], ends) if b > a)
+
+
+def packed_pixels(images: DataFrame, *keys: str) -> DataFrame:
+    """Pixels of B, G, R bytes as one INT each (see `skyframes.functions.color`): keys, width, bgr."""
+    named = [*keys, "width"]
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sizes = np.asarray(pc.binary_length(batch.column("data")).fill_null(0)).astype(np.int64)
+        if (sizes % 3).any():
+            raise ValueError("frames do not hold 3 bytes a pixel")
+        for some in _pieces(sizes, 3 * _PIXELS):
+            own = batch.slice(some.start, some.stop - some.start)
+            raw = b"".join(v.as_buffer() for v in own.column("data") if v.is_valid)
+            p = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
+            row = np.repeat(np.arange(len(own)), sizes[some] // 3)
+            found = lists(row, p[:, 0] << 16 | p[:, 1] << 8 | p[:, 2], len(own), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in named), found], names=[*named, "bgr"])
+
+    return arrow_pass(images.select(*named, "data"), f"{kept(images, *named)}, bgr array<int>", run)
 
 
 def pixel_rows(images: DataFrame, *keys: str) -> DataFrame:
     """One row per pixel of ``data``: keys, y, x, b, g, r."""
     p = F.col("bgr")
     return (
-        images.select(*keys, F.col("width").alias("__wide"), packed_pixels("data").alias("__pixels"))
-        .select(*keys, "__wide", F.posexplode("__pixels").alias("pos", "bgr"))
+        packed_pixels(images, *keys)
+        .select(*keys, F.col("width").alias("__wide"), F.posexplode("bgr").alias("pos", "bgr"))
         .select(*keys, *_place(), color.blue(p).alias("b"), color.green(p).alias("g"), color.red(p).alias("r"))
     )
 

@@ -60,8 +60,9 @@ def _each_sight(images: DataFrame, mask: DataFrame, only: DataFrame | None, limi
     names = [*SIGHT, *[c.split()[0] for c in schema.split(", ")]]
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        drawn: dict[tuple, np.ndarray] = {}
         for rows, bgr in stacks(batch, _PIXELS):
-            place, days, under = sights(batch, bgr.shape[:3], rows)
+            place, days, under = sights(batch, bgr.shape[:3], rows, drawn)
             if not len(place):
                 continue
             spots = kernels.sunny(bgr, limit)[place] & under

@@ -144,3 +144,23 @@ def test_hysteresis_links_within_an_image():
         strong = set(label[magnitude[k] > 200])
         assert (got[k] == np.isin(label, list(strong - {-1}))).all()
     assert not kernels.linked_edges(np.full((2, 3, 3), 150), 100, 200).any()
+
+
+def test_a_batch_goes_back_in_pieces():
+    """What a task makes of a batch is bounded by a piece, or by one frame that is larger."""
+    sizes = np.array([5, 0, 5, 30, 1, 1, 0, 9, 9])
+    pieces = list(stencil._pieces(sizes, 10))
+    assert [i for p in pieces for i in range(p.start, p.stop)] == list(range(len(sizes)))
+    assert all(sizes[p].sum() <= 20 or p.stop - p.start <= 2 for p in pieces) and len(pieces) > 3
+    assert list(stencil._pieces(np.zeros(0, np.int64), 10)) == []
+
+
+def test_pixel_passes_give_no_whole_batches(spark, sf_dir):
+    """Pixels, smoothing and ridges leave a task in pieces, and the scene is built without functions of array elements."""
+    from skyframes.catalog.queries import QUERIES
+    from skyframes.catalog.views import scene_images
+
+    for name in ("p08_luma_hue", "w03_bilateral", "w04_gradient_nms"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "ArrowEvalPython" not in plan, plan
+    assert "lambda" not in scene_images(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

@@ -68,7 +68,7 @@ def _best(angles: str) -> Column:
 def fit_tracks(points: DataFrame, width: int = 640, height: int = 640) -> DataFrame:
     """Tracks (device_id, day, theta, a2, a1, a0, rss, n): v = a2 u^2 + a1 u + a0 after turning by theta.
 
-    One aggregate gathers the 15 power sums of a device and day as exact integers; centring,
+    Points are counted by place, and an aggregate gathers the 15 power sums of a device and day as exact integers; centring,
     the search over theta (one degree over half a turn, then a hundredth around the best) and
     the solution are arithmetic on that row. Up to 3 points, or points at fewer than three
     places, give no row.
@@ -78,7 +78,10 @@ def fit_tracks(points: DataFrame, width: int = 640, height: int = 640) -> DataFr
     def power(name: str, k: int) -> str:
         return " * ".join([name] * k) or "1"
 
-    sums = centred.groupBy(*TRACK).agg(*[F.expr(f"sum({power('x', i)} * {power('y', j)})").alias(f"m{i}{j}") for i, j in MOMENTS])
+    placed = centred.groupBy(*TRACK, "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    moments = [F.expr(f"sum(w * {power('x', i)} * {power('y', j)})").alias(f"m{i}{j}") for i, j in MOMENTS]
+    # points at two places have no determinant but the rounding of their moments
+    sums = placed.groupBy(*TRACK).agg(*moments, F.count(F.lit(1)).alias("places")).where("places > 2").drop("places")
     means = sums.where("m00 > 3").selectExpr("*", "double(m00) as n", "m10 / m00 as mx", "m01 / m00 as my")
     rows = with_once(means, **{f"c{i}{j}": F.expr(_central(i, j)) for i, j in MOMENTS if 2 <= i + j})
     coarse = _best("transform(sequence(0, 179), k -> k * pi() / 180)")

@@ -79,15 +79,14 @@ def scene_images(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"unhex(repeat(ground, {SIDE})) as bare",
             f"unhex(repeat(wall, {SIDE})) as walled",
         )
-        # each kind of row with the sun on it: half widths 2 2 1 of the disc of squared radius 5, by distance from its middle row
-        .selectExpr("*", *[
-            f"overlay({row} placing X'{'FFFFFF' * (2 * half + 1)}' from cast(3 * (cx - {half}) + 1 as int)) as {row}_{half}"
-            for row in ("both_skies", "one_sky", "bare", "walled") for half in (1, 2)
-        ])
     )
     kinds = ["both_skies"] * 11 + ["one_sky"] * 3 + ["bare"] * 4 + ["walled"] * (SIDE - 18)
-    data = ", ".join(f"case abs({y} - cy) when 0 then {row}_2 when 1 then {row}_2 when 2 then {row}_1 else {row} end" for y, row in enumerate(kinds))
-    return shaped.selectExpr(*KEYS, f"{SIDE} as height", f"{SIDE} as width", f"concat({data}) as data")
+    data = "sunless"
+    # the sun: half widths 1 2 2 2 1 of the disc of squared radius 5, which lies within the picture; none without a time of day
+    for dy, half in zip(range(-2, 3), (1, 2, 2, 2, 1)):
+        data = f"overlay({data} placing X'{'FFFFFF' * (2 * half + 1)}' from cast(3 * ({SIDE} * (cy + {dy}) + cx - {half}) + 1 as int))"
+    pictures = shaped.selectExpr(*KEYS, "cx", "cy", f"concat({', '.join(kinds)}) as sunless")
+    return pictures.selectExpr(*KEYS, f"{SIDE} as height", f"{SIDE} as width", f"coalesce({data}, sunless) as data")
 
 
 def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def ridges(images: DataFrame, *keys: str) -> DataFrame:
 
 def edge_flags(bgr: np.ndarray, low: int, high: int) -> np.ndarray:
     """8-connected ridges above `low` that somewhere exceed `high`, for each frame of a stack."""
-    return kernels.linked_edges(kernels.ridges(*kernels.derivatives(kernels.smooth(kernels.grey(bgr)))), low, high)
+    return kernels.linked_edges(kernels.ridges(*kernels.derivatives(kernels.smooth(kernels.grey(bgr))), low), low, high)
 
 
 def edge_images(images: DataFrame, *keys: str, low: int = 100, high: int = 200) -> DataFrame:

@@ -281,27 +281,26 @@ def masks_by_day(mask: DataFrame) -> DataFrame:
     return each.groupBy(*IMAGE).agg(F.array_sort(F.collect_list("m")).alias("masks"))
 
 
-def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray, drawn: dict[tuple, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray, drawn: dict[tuple, tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each frame of a stack and mask that serves its day: the frame's place in the stack, the mask's day, the mask's image.
 
-    drawn: the masks of the batch that are drawn already; it grows.
+    drawn: the masks of the devices and days of the batch that are drawn already; it grows. Frames of one
+    device, day and size have the same masks (`masks_by_day`).
     """
-    column = batch.column("masks").take(pa.array(rows))
-    place = np.repeat(np.arange(len(rows)), np.asarray(column.value_lengths().fill_null(0)))
-    masks = column.flatten()
-    values, ends = [], []
-    for c in ("start", "length"):
-        runs = masks.field(c)
-        values.append(np.asarray(runs.flatten()).astype(np.int64))
-        ends.append([0, *np.cumsum(np.asarray(runs.value_lengths().fill_null(0))).tolist()])
-    images = []
-    for i in range(len(masks)):
-        start, length = (x[e[i] : e[i + 1]] for x, e in zip(values, ends))
-        key = shape[1:], start.tobytes(), length.tobytes()
+    masks, some = batch.column("masks"), pa.array(rows)
+    keys = [(shape[1:], *key) for key in zip(*(batch.column(c).take(some).to_pylist() for c in ("device_id", "day")))]
+    numbers: dict[tuple, int] = {}
+    code = np.array([numbers.setdefault(key, len(numbers)) for key in keys], np.int64)
+    for key, first in zip(numbers, np.unique(code, return_index=True)[1]):
         if key not in drawn:
-            drawn[key] = kernels.drawn((1, *shape[1:]), np.zeros(len(start), np.int64), start, length)[0]
-        images.append(drawn[key])
-    return place, np.asarray(masks.field("mask_day")).astype(np.int64), np.stack(images) if images else np.zeros((0, *shape[1:]), bool)
+            own = masks.slice(int(rows[first]), 1).flatten()
+            place, start, length = listed(own, np.arange(len(own)), "start", "length")
+            drawn[key] = np.asarray(own.field("mask_day")).astype(np.int64), kernels.drawn((len(own), *shape[1:]), place, start, length)
+    sets = [drawn[key] for key in numbers]
+    size = np.array([len(days) for days, _ in sets], np.int64)[code]
+    first = np.concatenate([[0], np.cumsum([len(days) for days, _ in sets])]).astype(np.int64)[code]
+    which = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+    return np.repeat(np.arange(len(rows)), size), np.concatenate([days for days, _ in sets])[which], np.concatenate([images for _, images in sets])[which]
 
 
 def masked_pixels(images: DataFrame, mask: DataFrame) -> DataFrame:

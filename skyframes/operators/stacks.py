@@ -47,9 +47,10 @@ def lists(rows: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values).cast(kind))
 
 
-def listed(batch: pa.RecordBatch, rows: np.ndarray, *names: str) -> list[np.ndarray]:
+def listed(batch: pa.RecordBatch | pa.StructArray, rows: np.ndarray, *names: str) -> list[np.ndarray]:
     """Elements of list columns of the given rows: the place in `rows` of each, and its value in each column. The lists of a row are of one length."""
-    columns = [batch.column(c).take(pa.array(rows)) for c in names]
+    column = batch.field if isinstance(batch, pa.StructArray) else batch.column
+    columns = [column(c).take(pa.array(rows)) for c in names]
     place = np.repeat(np.arange(len(rows)), np.asarray(columns[0].value_lengths().fill_null(0)))
     return [place, *(np.asarray(c.flatten()).astype(np.int64) for c in columns)]
 

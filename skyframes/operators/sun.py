@@ -15,7 +15,7 @@ from skyframes.operators.mask import beside_pictures, masks_by_day, sights
 from skyframes.operators.stacks import RUNS, arrow_pass, kept, run_lists, stacks
 
 SIGHT = ("frame_id", "device_id", "mask_day", "height", "width")
-_PIXELS = 1 << 18  # of pictures at once; each has up to three masks
+_PIXELS = 1 << 16  # of pictures at once; each has up to three masks
 
 
 def _cut(stack: np.ndarray, margin: int) -> tuple[slice, slice]:
@@ -27,6 +27,15 @@ def _cut(stack: np.ndarray, margin: int) -> tuple[slice, slice]:
     return out[0], out[1]
 
 
+def _boxes(stack: np.ndarray) -> np.ndarray:
+    """top, bottom, left and right (ends excluded) of the foreground of each image, a column each; every image has some."""
+    out = []
+    for axis in (2, 1):
+        hit = stack.any(axis)
+        out += [hit.argmax(1), hit.shape[1] - hit[:, ::-1].argmax(1)]
+    return np.stack(out)
+
+
 def largest_regions(spots: np.ndarray, size: int) -> np.ndarray:
     """For each image the largest region of its eroded and filled pixels, grown and filled again."""
     window = 0, *_cut(spots, size // 2 + 1)
@@ -60,7 +69,7 @@ def _each_sight(images: DataFrame, mask: DataFrame, only: DataFrame | None, limi
     names = [*SIGHT, *[c.split()[0] for c in schema.split(", ")]]
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        drawn: dict[tuple, np.ndarray] = {}
+        drawn: dict[tuple, tuple] = {}
         for rows, bgr in stacks(batch, _PIXELS):
             place, days, under = sights(batch, bgr.shape[:3], rows, drawn)
             if not len(place):
@@ -74,7 +83,7 @@ def _each_sight(images: DataFrame, mask: DataFrame, only: DataFrame | None, limi
             keys = {c: own.column(c) for c in SIGHT if c != "mask_day"} | {"mask_day": pa.array(days[seen])}
             yield pa.RecordBatch.from_arrays([*(keys[c] for c in SIGHT), *made(regions[seen], under[seen])], names=names)
 
-    pictures = _sights(images, mask, only).select("frame_id", "device_id", "height", "width", "data", "masks")
+    pictures = _sights(images, mask, only).select("frame_id", "device_id", "day", "height", "width", "data", "masks")
     kinds = kept(images, "frame_id", "device_id")
     seen = arrow_pass(pictures, f"{kinds}, mask_day bigint, height int, width int, {schema}", look)
     return seen if only is None else seen.join(only.select("frame_id", "mask_day").distinct(), ["frame_id", "mask_day"], "left_semi")
@@ -131,16 +140,15 @@ def measured(regions: np.ndarray, under: np.ndarray, least: int, most: int) -> l
     disc_area: pixels of the largest filled region of the disc that lies on the mask.
     """
     out = []
-    for region, mask in zip(regions, under):
-        rows, columns = _cut(region[None], 0)
+    for region, mask, top, bottom, left, right in zip(regions, under, *_boxes(regions).tolist()):
         found = [None] * 5
         # a region wider or higher than any accepted disc needs no circle
-        if max(rows.stop - rows.start, columns.stop - columns.start) <= 2 * most + 4:
-            part = region[rows, columns]
+        if max(bottom - top, right - left) <= 2 * most + 4:
+            part = region[top:bottom, left:right]
             cx, cy, r = _circle_of_shape(*_bits(part))
-            cx, cy = cx + columns.start, cy + rows.start
+            cx, cy = cx + left, cy + top
             if least <= r <= most:
-                found = [cx, cy, r, int(part.sum()), disc_area(cx, cy, r, mask)]
+                found = [cx, cy, r, int(np.count_nonzero(part)), disc_area(cx, cy, r, mask)]
         out.append(found)
     return [list(x) for x in zip(*out)]
 

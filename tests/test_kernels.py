@@ -164,3 +164,19 @@ def test_pixel_passes_give_no_whole_batches(spark, sf_dir):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "MapInArrow" in plan and "ArrowEvalPython" not in plan, plan
     assert "lambda" not in scene_images(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_edges_of_a_stack_are_those_of_its_images():
+    rng = np.random.default_rng(8)
+    for high, wide in ((1, 1), (1, 7), (9, 2), (24, 24), (40, 31)):
+        grey = rng.integers(0, 6, (30, high, wide), np.int32) * 51
+        smooth = kernels.smooth(grey)
+        slopes = kernels.derivatives(smooth)
+        every = kernels.ridges(*slopes)
+        some = kernels.ridges(*slopes, 100)
+        assert np.array_equal(some, np.where(every > 100, every, 0))
+        edges = kernels.linked_edges(some, 100, 200)
+        for i in range(len(grey)):
+            assert np.array_equal(kernels.smooth(grey[i]), smooth[i])
+            assert np.array_equal(kernels.ridges(*(s[i] for s in slopes)), every[i])
+            assert np.array_equal(kernels.linked_edges(every[i : i + 1], 100, 200)[0], edges[i])

@@ -1,6 +1,7 @@
 """Whole chains: regions under the sky rules, and the track of the scene's sun."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,28 @@ def test_ingest_splits_requests(spark, sf_dir):
     assert got["quarantine"].where("array_contains(errors, 'unknown_device')").count() > 0
     assert got["selected"].where("image_url is null").count() == 0
     assert got["folders"].count() > got["without_images"].count()
+
+
+def test_masks_of_a_day_are_drawn_once_for_its_frames(monkeypatch):
+    drawn, real = [], mask.kernels.drawn
+    monkeypatch.setattr(mask.kernels, "drawn", lambda shape, *runs: drawn.append(shape) or real(shape, *runs))
+    kind = pa.list_(pa.struct([("mask_day", pa.int64()), ("start", pa.list_(pa.int32())), ("length", pa.list_(pa.int32()))]))
+    days = {1: [(1, [0], [2]), (2, [5], [1])], 2: [(2, [5], [1])], 3: []}
+    rows = [1, 2, 1, 3, 2, 1]
+    masks = pa.array([[dict(zip(("mask_day", "start", "length"), m)) for m in days[day]] for day in rows], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 6), pa.array(rows, pa.int64()), masks], names=["device_id", "day", "masks"])
+    held = {}
+    for some in (np.arange(6), np.array([5, 4])):
+        place, seen, images = mask.sights(batch, (len(some), 2, 3), some, held)
+        assert [(int(p), int(d)) for p, d in zip(place, seen)] == [(p, m[0]) for p, i in enumerate(some) for m in days[rows[i]]]
+        for d, image in zip(seen, images):
+            assert np.flatnonzero(image).tolist() == ([0, 1] if d == 1 else [5])
+    assert sorted(drawn) == [(0, 2, 3), (1, 2, 3), (2, 2, 3)]
+
+
+def test_the_scene_lays_its_sun_over_whole_pictures(spark, sf_dir):
+    """An expression a row of pixels made code that the JVM does not compile."""
+    images = views.scene_images(spark, sf_dir)
+    assert images._jdf.queryExecution().optimizedPlan().toString().upper().count("CASE WHEN") < 24
+    untimed = views.frames(spark, sf_dir).where("tod is null").count()
+    assert images.where(F.col("data").isNull()).count() == 0 and untimed == 0

@@ -25,7 +25,8 @@ def ridges(images: DataFrame, *keys: str) -> DataFrame:
 
 def edge_flags(bgr: np.ndarray, low: int, high: int) -> np.ndarray:
     """8-connected ridges above `low` that somewhere exceed `high`, for each frame of a stack."""
-    return kernels.linked_edges(kernels.ridges(*kernels.derivatives(kernels.smooth(kernels.grey(bgr))), low), low, high)
+    smooth = kernels.smooth(kernels.grey(bgr)).astype(np.int16)  # magnitudes are at most 2040
+    return kernels.linked_edges(kernels.ridges(*kernels.derivatives(smooth), low), low, high)
 
 
 def edge_images(images: DataFrame, *keys: str, low: int = 100, high: int = 200) -> DataFrame:
@@ -34,7 +35,7 @@ def edge_images(images: DataFrame, *keys: str, low: int = 100, high: int = 200)
 
     def find(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for rows, bgr in stacks(batch):
-            own = batch.take(pa.array(rows))
+            own = batch.select(named).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([*(own.column(c) for c in named), *run_lists(edge_flags(bgr, low, high))], names=[*named, "start", "length"])
 
     return arrow_pass(images.select(*named, "data"), f"{kept(images, *named)}, {RUNS}", find)

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from skyframes.operators import kernels, stencil
+from skyframes.operators.edges import edge_flags
 from skyframes.operators.kernels import fill, largest
 
 
@@ -180,3 +181,22 @@ def test_edges_of_a_stack_are_those_of_its_images():
             assert np.array_equal(kernels.smooth(grey[i]), smooth[i])
             assert np.array_equal(kernels.ridges(*(s[i] for s in slopes)), every[i])
             assert np.array_equal(kernels.linked_edges(every[i : i + 1], 100, 200)[0], edges[i])
+
+
+def test_weights_are_looked_up_at_no_negative_place():
+    """Signs of differences of noisy pixels are as good as random, and a branch on each made smoothing twice as slow."""
+    d = np.arange(-kernels._OUTSIDE - 255, kernels._OUTSIDE + 256)
+    at = d + kernels._MOST
+    assert at.min() >= 0 and at.max() < len(kernels._APART) and (kernels._APART[at] == d).all()
+    assert (kernels._CLOSENESS[at] == np.where(abs(d) < 256, np.exp(-(d**2.0) / kernels.SPREAD), 0)).all()
+
+
+def test_edges_are_found_in_narrow_whole_numbers(monkeypatch):
+    """Magnitudes of 16 bits give the edges that those of 32 bits give."""
+    bgr = np.random.default_rng(8).integers(0, 256, (6, 15, 13, 3)).astype(np.uint8)
+    bgr[3:, 4:9] //= 40
+    wide = kernels.ridges(*kernels.derivatives(kernels.smooth(kernels.grey(bgr))), 100)
+    kinds, real = [], kernels.linked_edges
+    monkeypatch.setattr(kernels, "linked_edges", lambda found, *limits: kinds.append(found.dtype) or real(found, *limits))
+    assert (edge_flags(bgr, 100, 200) == real(wide, 100, 200)).all()
+    assert kinds == [np.int16]

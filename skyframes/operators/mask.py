@@ -10,13 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyframes.functions import color
 from skyframes.operators import kernels
 from skyframes.operators.edges import edge_flags
-from skyframes.operators.stacks import RUNS, arrow_pass, kept, listed, lists, run_rows, stacks
+from skyframes.operators.stacks import RUNS, arrow_pass, kept, listed, lists, numbered, run_rows, stacks
 
 IMAGE = ("device_id", "day", "height", "width")
 _BAND = 1 << 14  # pixels of a band of rows
@@ -75,16 +75,13 @@ def pixel_hits(images: DataFrame, low: int = 100, high: int = 200) -> DataFrame:
         kinds, pixels = None, 0
         for batch in batches:
             kinds = batch.schema
-            keys = list(zip(*(batch.column(c).to_pylist() for c in IMAGE)))
             # frames of a key side by side, so that a stack has few keys
-            numbers: dict[tuple, int] = {}
-            order = np.argsort([numbers.setdefault(key, len(numbers)) for key in keys], kind="stable")
-            batch, keys = batch.take(pa.array(order, pa.int64())), [keys[i] for i in order]
-            for rows, bgr in stacks(batch):
+            number, keys = numbered(batch, *IMAGE)
+            for rows, bgr in stacks(batch, beside=number):
                 sky, edge = sky_flags(bgr), edge_flags(bgr, low, high)
-                ends = [i for i in range(1, len(rows)) if keys[rows[i]] != keys[rows[i - 1]]]
+                ends = (np.flatnonzero(np.diff(number[rows])) + 1).tolist()
                 for some in map(slice, [0, *ends], [*ends, len(rows)]):
-                    key = keys[rows[some.start]]
+                    key = keys[number[rows[some.start]]]
                     c = held.pop(key, None)
                     if c is None:
                         c, pixels = _Counter(*bgr.shape[1:3]), pixels + sky[0].size
@@ -216,13 +213,15 @@ def region_sums(images: DataFrame, regions: DataFrame) -> DataFrame:
             running = np.zeros((len(rows), difference.shape[1] + 1), np.int64)
             np.cumsum(difference, axis=1, out=running[:, 1:])
             place, start, length, region = listed(batch, rows, "start", "length", "region")
-            name = place * (int(region.max(initial=0)) + 1) + region
-            names, which = np.unique(name, return_inverse=True)
-            sums = np.zeros(len(names), np.int64)
-            np.add.at(sums, which, running[place, start + length] - running[place, start])
-            at, region = np.divmod(names, int(region.max(initial=0)) + 1)
-            own = batch.take(pa.array(rows[at]))
-            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("frame_id", *IMAGE)), pa.array(region, pa.int32()), pa.array(sums, pa.int64())], names=["frame_id", *IMAGE, "region", "rb_sum"])
+            names = int(region.max(initial=0)) + 1
+            name = place * names + region
+            # whole numbers below 2 ** 53, so that the sums are exact
+            sums = np.bincount(name, running[place, start + length] - running[place, start]).astype(np.int64)
+            found = np.flatnonzero(np.bincount(name))
+            at, region = np.divmod(found, names)
+            sums = sums[found]
+            own = batch.select(["frame_id", *IMAGE]).take(pa.array(rows[at]))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(region, pa.int32()), pa.array(sums, pa.int64())], names=["frame_id", *IMAGE, "region", "rb_sum"])
 
     met = beside_pictures(images, regions.select(*IMAGE, "start", "length", "region"), "frame_id")
     return arrow_pass(met.drop("slice"), f"{kept(images, 'frame_id', *IMAGE)}, region int, rb_sum bigint", add)
@@ -233,13 +232,9 @@ def region_correlation(sums: DataFrame, least: float = 0.3) -> DataFrame:
 
     A constant series has no correlation and is not kept.
     """
-    others = F.collect_list(F.when(F.col("region") > 1, F.struct("region", "rb_sum")))
-    series = (
-        sums.groupBy(*IMAGE, "frame_id")
-        .agg(F.max(F.when(F.col("region") == 1, F.col("rb_sum"))).alias("base"), others.alias("others"))
-        .select(*IMAGE, "base", F.inline("others"))
-        .where("base is not null")
-    )
+    # a frame's rows meet in a sort by its id; lists of them in a hash table would be sorted twice
+    base = F.max(F.when(F.col("region") == 1, F.col("rb_sum"))).over(Window.partitionBy("frame_id", *IMAGE))
+    series = sums.select(*IMAGE, "region", "rb_sum", base.alias("base")).where("region > 1 and base is not null")
     a, b = F.col("base").cast("double"), F.col("rb_sum").cast("double")
     corr = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     return (
@@ -287,16 +282,15 @@ def sights(batch: pa.RecordBatch, shape: tuple[int, int, int], rows: np.ndarray,
     drawn: the masks of the devices and days of the batch that are drawn already; it grows. Frames of one
     device, day and size have the same masks (`masks_by_day`).
     """
-    masks, some = batch.column("masks"), pa.array(rows)
-    keys = [(shape[1:], *key) for key in zip(*(batch.column(c).take(some).to_pylist() for c in ("device_id", "day")))]
-    numbers: dict[tuple, int] = {}
-    code = np.array([numbers.setdefault(key, len(numbers)) for key in keys], np.int64)
-    for key, first in zip(numbers, np.unique(code, return_index=True)[1]):
+    masks = batch.column("masks")
+    code, keys = numbered(batch.select(["device_id", "day"]).take(pa.array(rows)), "device_id", "day")
+    keys = [(shape[1:], *key) for key in keys]
+    for key, first in zip(keys, np.unique(code, return_index=True)[1]):
         if key not in drawn:
             own = masks.slice(int(rows[first]), 1).flatten()
             place, start, length = listed(own, np.arange(len(own)), "start", "length")
             drawn[key] = np.asarray(own.field("mask_day")).astype(np.int64), kernels.drawn((len(own), *shape[1:]), place, start, length)
-    sets = [drawn[key] for key in numbers]
+    sets = [drawn[key] for key in keys]
     size = np.array([len(days) for days, _ in sets], np.int64)[code]
     first = np.concatenate([[0], np.cumsum([len(days) for days, _ in sets])]).astype(np.int64)[code]
     which = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -308,7 +302,7 @@ def masked_pixels(images: DataFrame, mask: DataFrame) -> DataFrame:
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, drawn = batch.column("frame_id"), {}
-        for rows, bgr in stacks(batch):
+        for rows, bgr in stacks(batch, beside=numbered(batch, "device_id", "day")[0]):
             place, days, under = sights(batch, bgr.shape[:3], rows, drawn)
             packed = bgr.astype(np.int32)
             packed = (packed[..., 0] << 16 | packed[..., 1] << 8 | packed[..., 2]).reshape(len(bgr), -1)

@@ -22,23 +22,52 @@ RUNS = "start array<int>, length array<int>"
 _PIXELS = 1 << 16  # few enough for the arrays of a kernel to stay in a core's cache
 
 
-def stacks(batch: pa.RecordBatch, most: int = _PIXELS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def numbered(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, list[tuple]]:
+    """A number for each row, the same for rows with the same values of the named columns, and the values of each number."""
+    code = np.zeros(len(batch), np.int64)
+    for name in names:
+        part = batch.column(name).dictionary_encode("encode")
+        code = code * (len(part.dictionary) + 1) + np.asarray(part.indices)
+        code = np.unique(code, return_inverse=True)[1]
+    first = pa.array(np.unique(code, return_index=True)[1])
+    return code, list(zip(*(batch.column(c).take(first).to_pylist() for c in names)))
+
+
+def _bytes_of(data: pa.Array, rows: np.ndarray, size: int) -> np.ndarray:
+    """(rows, size) bytes of the given rows, none of which is null."""
+    kind = np.int64 if pa.types.is_large_binary(data.type) else np.int32
+    _, ends, held = data.buffers()
+    ends = np.frombuffer(ends, kind)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    begin = ends[:-1][rows]
+    if (ends[1:][rows] - begin != size).any():
+        raise ValueError(f"frames do not hold the {size} bytes of their size")
+    if not size:
+        return np.zeros((len(rows), 0), np.uint8)
+    if not ((begin - begin[0]) % size).any():
+        shift = int(begin[0] % size)
+        whole = np.frombuffer(held, np.uint8)[shift:]
+        whole = whole[: len(whole) // size * size].reshape(-1, size)
+        return whole[(begin - shift) // size]
+    return np.frombuffer(b"".join(v.as_buffer() for v in data.take(pa.array(rows))), np.uint8).reshape(-1, size)
+
+
+def stacks(batch: pa.RecordBatch, most: int = _PIXELS, beside: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers and (stack, H, W, 3) bytes of the frames of a batch, at most about `most` pixels at once.
 
-    Rows without bytes are left out; bytes that do not fill the stated size are an error.
+    Rows without bytes are left out; bytes that do not fill the stated size are an error. Rows of equal
+    numbers in `beside` come one after the other.
     """
     data = batch.column("data")
     high, wide = (np.asarray(batch.column(c).fill_null(0)).astype(np.int64) for c in ("height", "width"))
     real = np.flatnonzero(np.asarray(data.is_valid()))
+    if beside is not None:
+        real = real[np.argsort(beside[real], kind="stable")]
     for size in np.unique(np.stack([high[real], wide[real]], 1), axis=0):
         rows = real[(high[real] == size[0]) & (wide[real] == size[1])]
         step = max(1, most // max(1, int(size[0] * size[1])))
         for i in range(0, len(rows), step):
             some = rows[i : i + step]
-            raw = b"".join(v.as_buffer() for v in data.take(pa.array(some)))
-            if len(raw) != len(some) * size[0] * size[1] * 3:
-                raise ValueError(f"frames of {size[0]} x {size[1]} pixels do not hold 3 bytes each")
-            yield some, np.frombuffer(raw, np.uint8).reshape(len(some), *size, 3)
+            yield some, _bytes_of(data, some, int(size[0] * size[1] * 3)).reshape(len(some), *size, 3)
 
 
 def lists(rows: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:

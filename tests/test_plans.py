@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframes import session
 from skyframes.catalog import views
 from skyframes.operators import mask, stencil, sun
-from skyframes.operators.stacks import as_runs
+from skyframes.operators.stacks import as_runs, numbered, stacks
 from skyframes.plans import ingest, sky, suntrack
 
 
@@ -146,3 +146,38 @@ def test_the_scene_lays_its_sun_over_whole_pictures(spark, sf_dir):
     assert images._jdf.queryExecution().optimizedPlan().toString().upper().count("CASE WHEN") < 24
     untimed = views.frames(spark, sf_dir).where("tod is null").count()
     assert images.where(F.col("data").isNull()).count() == 0 and untimed == 0
+
+
+def test_correlation_lists_no_frames(spark):
+    """Repeated ids are one frame, whose region 1 is the brightest of theirs; frames without region 1 are left out."""
+    schema = "device_id string, day long, height int, width int, frame_id long, region int, rb_sum long"
+    sums = [("d", 1, 4, 4, f, k, v) for f, k, v in ((1, 1, 5), (1, 1, 9), (1, 2, 7), (1, 2, 8), (2, 1, 3), (2, 2, 4), (3, 2, 90), (4, 1, 6))]
+    corr = mask.region_correlation(spark.createDataFrame(sums, schema))
+    assert "collect_list" not in corr._jdf.queryExecution().optimizedPlan().toString()
+    (row,) = corr.collect()
+    assert row["region"] == 2 and row["corr"] == pytest.approx(np.corrcoef([9, 9, 3], [7, 8, 4])[0, 1])
+
+
+def test_stacks_take_frames_of_a_key_side_by_side():
+    rng = np.random.default_rng(3)
+    sizes = [(2, 3), (2, 3), (4, 1), (2, 3), (4, 1), (2, 3), (2, 3)]
+    data = [rng.integers(0, 256, h * w * 3).astype(np.uint8).tobytes() for h, w in sizes]
+    data[3] = None
+    columns = {
+        "device_id": pa.array(["b", "a", None, "a", "b", "b", None]), "day": pa.array([1, 2, None, 2, 1, 1, None], pa.int64()),
+        "height": pa.array([h for h, _ in sizes], pa.int32()), "width": pa.array([w for _, w in sizes], pa.int32()),
+    }
+    for kind in (pa.binary(), pa.large_binary()):
+        batch = pa.RecordBatch.from_pydict(columns | {"data": pa.array(data, kind)})
+        for some in (batch, batch.slice(1, 5), batch.slice(0, 1), batch.slice(3, 1), batch.slice(0, 0)):
+            number, keys = numbered(some, "device_id", "day")
+            assert [keys[n] for n in number] == list(zip(some.column("device_id").to_pylist(), some.column("day").to_pylist()))
+            bytes_of, seen = some.column("data").to_pylist(), []
+            for rows, bgr in stacks(some, beside=number):
+                assert [x.tobytes() for x in bgr] == [bytes_of[i] for i in rows]
+                assert (np.diff(number[rows]) >= 0).all()
+                seen += rows.tolist()
+            assert sorted(seen) == [i for i, x in enumerate(bytes_of) if x is not None]
+    wrong = pa.RecordBatch.from_pydict({"height": pa.array([2, 2]), "width": pa.array([2, 2]), "data": pa.array([bytes(12), bytes(11)])})
+    with pytest.raises(ValueError):
+        list(stacks(wrong))

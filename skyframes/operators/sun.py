@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyframes.operators import kernels
 from skyframes.operators.mask import beside_pictures, masks_by_day, sights
-from skyframes.operators.stacks import RUNS, arrow_pass, kept, run_lists, stacks
+from skyframes.operators.stacks import RUNS, arrow_pass, kept, numbered, run_lists, stacks
 
 SIGHT = ("frame_id", "device_id", "mask_day", "height", "width")
 _PIXELS = 1 << 16  # of pictures at once; each has up to three masks
@@ -70,7 +70,7 @@ def _each_sight(images: DataFrame, mask: DataFrame, only: DataFrame | None, limi
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         drawn: dict[tuple, tuple] = {}
-        for rows, bgr in stacks(batch, _PIXELS):
+        for rows, bgr in stacks(batch, _PIXELS, numbered(batch, "device_id", "day")[0]):
             place, days, under = sights(batch, bgr.shape[:3], rows, drawn)
             if not len(place):
                 continue
@@ -79,7 +79,7 @@ def _each_sight(images: DataFrame, mask: DataFrame, only: DataFrame | None, limi
             seen = np.flatnonzero(regions.any((1, 2)))
             if not len(seen):
                 continue
-            own = batch.take(pa.array(rows[place[seen]]))
+            own = batch.select([c for c in SIGHT if c != "mask_day"]).take(pa.array(rows[place[seen]]))
             keys = {c: own.column(c) for c in SIGHT if c != "mask_day"} | {"mask_day": pa.array(days[seen])}
             yield pa.RecordBatch.from_arrays([*(keys[c] for c in SIGHT), *made(regions[seen], under[seen])], names=names)
 
